@@ -10,21 +10,38 @@ from pyspark.sql import functions as F
 from shelfspark import config
 
 
+# Most distinct values a DATE column can hold (0001-01-01 .. 9999-12-31).
+DATE_DOMAIN_ROWS = 3_652_059
+
+_FITS: dict[int, tuple[DataFrame, int, bool]] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    The check is a bounded action (``limit(max_rows + 1).count()``), so it stops
-    reading as soon as the bound is exceeded.
+    The check is a bounded action (``limit(max_rows + 1).count()``).  The
+    answer is remembered for the lifetime of this DataFrame object, so a
+    dimension reused by many queries is counted once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    hit = _FITS.get(id(df))
+    if hit is not None and hit[0] is df and hit[1] == max_rows:
+        return hit[2]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    _FITS[id(df)] = (df, max_rows, ok)
+    return ok
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS,
+                      known_max_rows: int | None = None) -> DataFrame:
     """Broadcast hint only when the row bound is proven; otherwise the plain side.
 
-    Beyond the bound the optimizer picks a shuffle join and AQE may still
-    switch to broadcast at run time from real shuffle sizes.
+    ``known_max_rows`` is a bound that holds by construction (e.g. one row per
+    date); when it is within ``max_rows`` no counting job is run.  Beyond the
+    bound the optimizer picks a shuffle join, and AQE may still switch to a
+    broadcast at run time from measured shuffle sizes.
     """
+    if known_max_rows is not None and known_max_rows <= max_rows:
+        return F.broadcast(df)
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
@@ -62,7 +79,10 @@ def with_group_total(df: DataFrame, group: str | Sequence[str], measure: str, to
     """
     keys = [group] if isinstance(group, str) else list(group)
     totals = df.groupBy(*keys).agg(F.sum(measure).alias(total_name))
-    return df.join(checked_broadcast(totals, max_rows), on=keys, how="left")
+    known = None
+    if len(keys) == 1 and df.schema[keys[0]].dataType.typeName() == "date":
+        known = DATE_DOMAIN_ROWS + 1  # one total per date (+ NULL), whatever the data size
+    return df.join(checked_broadcast(totals, max(max_rows, known or 0), known), on=keys, how="left")
 
 
 def share_of_group(df: DataFrame, group: str | Sequence[str], measure: str, out: str,

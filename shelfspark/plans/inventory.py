@@ -7,6 +7,12 @@ Plan notes (what differs from a literal translation, with identical results):
   equals LAG over product by date, so both lags (W2 beginning stock, W4
   previous date) are computed once on the product history *before* the
   fan-out: one window over N rows instead of N x stores.
+* That day's sales (J3) are joined on (product, date) *before* the fan-out:
+  completed sales are first summed to (product, store, day), so one
+  (product, day) carries at most one entry per store -- a map bounded by the
+  store dimension, not by row counts -- and each fanned-out row looks its
+  store up.  Every join in the chain is then keyed on the product alone and
+  the fanned-out rows (the largest intermediate) are never shuffled.
 * The per-date purchase total (W3) is an aggregate + broadcast join instead
   of ``SUM() OVER (PARTITION BY date)``, so no task ever holds a whole day.
 """
@@ -38,17 +44,25 @@ def product_store(items: DataFrame) -> DataFrame:
     return distinct_pairs(items, ["product_id", "store_id"])
 
 
-def stock_snapshots(history: DataFrame) -> DataFrame:
-    """Typed per-product snapshots with previous stock and previous date."""
-    snaps = history.select(
+def typed_snapshots(history: DataFrame) -> DataFrame:
+    return history.select(
         "product_id",
         F.col("source_snapshot_date").alias("inventory_date"),
         F.col("stock_quantity").alias("ending_stock"),
         "reorder_level", "supplier_id", "cost_price")
+
+
+def previous_snapshot(snaps: DataFrame) -> DataFrame:
+    """W2 + W4: previous stock and previous date per product (one window spec)."""
     return with_previous(snaps, ["product_id"], [("inventory_date", False, False)],
                          {"ending_stock": "beginning_stock", "inventory_date": "previous_inventory_date"})
 
 
+def stock_snapshots(history: DataFrame) -> DataFrame:
+    """Typed per-product snapshots with previous stock and previous date."""
+    return previous_snapshot(typed_snapshots(history))
+
+
 def fan_out(snapshots: DataFrame, pairs: DataFrame) -> DataFrame:
     """Product snapshots x stores that sold the product (inner)."""
     return snapshots.join(pairs, "product_id", "inner")
@@ -64,11 +78,34 @@ def completed_sales(items: DataFrame, statuses: Sequence[str] = config.COMPLETED
 
 
 def with_sales(stock: DataFrame, sales: DataFrame) -> DataFrame:
-    """Attach that day's sales (0 when none)."""
+    """Attach that day's sales (0 when none) with a (product, store, date) join."""
     return (stock.join(sales, ["product_id", "store_id", "inventory_date"], "left")
                  .withColumn("sold_quantity", F.coalesce("sold_quantity", F.lit(0).cast("bigint"))))
 
 
+def day_sales_by_store(sales: DataFrame) -> DataFrame:
+    """(product, date) -> map(store -> sold quantity); at most one entry per store."""
+    return sales.groupBy("product_id", "inventory_date").agg(
+        F.map_from_entries(F.collect_list(F.struct("store_id", "sold_quantity"))).alias("_store_sales"))
+
+
+def fan_out_with_sales(history: DataFrame, pairs: DataFrame, sales: DataFrame) -> DataFrame:
+    """W2/W4 + J1 + J3 without shuffling the fanned-out rows.
+
+    Same rows as ``with_sales(fan_out(stock_snapshots(history), pairs), sales)``.
+    The day map joins the history on (product, date) -- both sides are
+    aggregates hashed on those keys, so the join needs no exchange -- then
+    the lag window and the fan-out are both keyed on the product.  Every
+    sale's (product, store) pair is in ``pairs`` (both come from the same
+    order items), so a store missing from the day's map sold nothing.
+    """
+    snaps = typed_snapshots(history).join(day_sales_by_store(sales), ["product_id", "inventory_date"], "left")
+    return (fan_out(previous_snapshot(snaps), pairs)
+            .withColumn("sold_quantity",
+                        F.coalesce(F.try_element_at("_store_sales", F.col("store_id")), F.lit(0).cast("bigint")))
+            .drop("_store_sales"))
+
+
 def inventory_metrics(df: DataFrame) -> DataFrame:
     """Purchases, value, average stock, turnover."""
     avg_inv = M.average_inventory("beginning_stock", "ending_stock")
@@ -81,8 +118,7 @@ def inventory_metrics(df: DataFrame) -> DataFrame:
 
 def silver_inventory(history: DataFrame, items: DataFrame) -> DataFrame:
     pairs = product_store(items)
-    stock = fan_out(stock_snapshots(history), pairs)
-    calc = inventory_metrics(with_sales(stock, completed_sales(items)))
+    calc = inventory_metrics(fan_out_with_sales(history, pairs, completed_sales(items)))
     shared = share_of_group(calc, "inventory_date", "purchased_quantity", "supplier_contribution_percentage",
                             zero_value=0.0)
     return shared.withColumns({
