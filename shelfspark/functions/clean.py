@@ -97,9 +97,10 @@ def digits(c: ColumnOrName) -> Column:
     return F.nullif(F.regexp_replace(F.trim(_col(c)), r"[^0-9]", ""), F.lit(""))
 
 
-def clean_name(c: ColumnOrName, keep_spaces: bool = True) -> Column:
-    """Letters, apostrophes, hyphens (and spaces when ``keep_spaces``), title-cased."""
-    pattern = r"[^A-Za-z' -]" if keep_spaces else r"[^A-Za-z'-]"
+def clean_name(c: ColumnOrName, keep_spaces: bool = True, keep_digits: bool = False) -> Column:
+    """Letters, apostrophes, hyphens (and spaces / digits when asked), title-cased."""
+    allowed = "A-Za-z" + ("0-9" if keep_digits else "") + "'" + (" " if keep_spaces else "") + "-"
+    pattern = f"[^{allowed}]"
     return F.nullif(title_case(F.regexp_replace(F.trim(_col(c)), pattern, "")), F.lit(""))
 
 
