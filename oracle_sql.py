@@ -527,6 +527,32 @@ SELECT order_id, item_number, {sk('order_id', 'item_number')} AS order_item_key,
        {sk('order_id', 'CASE WHEN item_number % 5 <> 0 THEN item_number END')} AS partial_key
 FROM item_versions""")
 
+q("name_cleaning", ("customers",), f"""
+SELECT customer_id,
+       nullif({title("regexp_replace(trim(display_name), '[^A-Za-z'' -]', '', 'g')")}, '') AS name_spaced,
+       nullif({title("regexp_replace(trim(display_name), '[^A-Za-z''-]', '', 'g')")}, '') AS name_compact,
+       opt_in_text,
+       CASE WHEN lower(nullif(trim(opt_in_text), '')) IN ('true', 't', 'yes', 'y', 'on', '1') THEN TRUE
+            WHEN lower(nullif(trim(opt_in_text), '')) IN ('false', 'f', 'no', 'n', 'off', '0') THEN FALSE END
+           AS marketing_opt_in
+FROM (SELECT *, CASE customer_id % 5 WHEN 0 THEN 'ON' WHEN 1 THEN ' yes' WHEN 2 THEN 'False' WHEN 3 THEN 'maybe'
+                     ELSE '' END AS opt_in_text FROM customers)""")
+q("typed_parsing", (), """
+SELECT event_id,
+       CAST(hour(timezone('UTC', CAST(zoned AS TIMESTAMPTZ))) AS INTEGER) AS utc_hour,
+       CAST(hour(CAST(regexp_replace(zoned, '[+-]\\d\\d:\\d\\d$', '') AS TIMESTAMP)) AS INTEGER) AS local_hour,
+       amount_text, TRY_CAST(nullif(trim(amount_text), '') AS DECIMAL(18,2)) AS amount
+FROM (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || '-05:00' AS zoned,
+             CAST(event_id % 1000 AS VARCHAR) || '.' || lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0') AS amount_text
+      FROM events)""")
+q("order_window_days", ("headers",), """
+SELECT order_id,
+       CASE WHEN order_date IS NOT NULL AND delivery_date IS NOT NULL AND delivery_date >= order_date
+            THEN CAST(delivery_date - order_date AS INTEGER) END AS order_to_delivery_days,
+       CASE WHEN order_date IS NOT NULL AND delivery_date IS NOT NULL AND order_date >= delivery_date
+            THEN CAST(order_date - delivery_date AS INTEGER) END AS reversed_days
+FROM headers""")
+
 # ---------------- orders ----------------
 q("order_rollup", ("rollup",), "SELECT * FROM rollup")
 q("order_header_items", ("orders_s",), """

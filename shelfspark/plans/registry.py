@@ -225,6 +225,37 @@ def q_surrogate_key(spark, d):
                     surrogate_key("order_id", part).alias("partial_key"))
 
 
+def q_name_cleaning(spark, d):
+    """S8 (names with / without spaces) and S16 (boolean words) over every customer."""
+    c = mart(spark, d).customers
+    k = F.col("customer_id") % 5
+    flag_text = (F.when(k == 0, F.lit("ON")).when(k == 1, F.lit(" yes")).when(k == 2, F.lit("False"))
+                  .when(k == 3, F.lit("maybe")).otherwise(F.lit("")))
+    return c.select("customer_id",
+                    S.clean_name("display_name").alias("name_spaced"),
+                    S.clean_name("display_name", keep_spaces=False).alias("name_compact"),
+                    flag_text.alias("opt_in_text"), S.parse_bool(flag_text).alias("marketing_opt_in"))
+
+
+def q_typed_parsing(spark, d):
+    """S13 (zoned instant vs wall clock) and S14 (decimal text) over every event."""
+    ev = mart(spark, d).t.events
+    zoned = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("-05:00"))
+    amount = F.concat((F.col("event_id") % 1000).cast("string"), F.lit("."),
+                      F.lpad((F.col("user_id") % 1000).cast("string"), 3, "0"))
+    local = S.parse_ts(F.regexp_replace(zoned, r"[+-]\d\d:\d\d$", ""))
+    return ev.select("event_id", F.hour(S.parse_ts(zoned, zoned=True)).alias("utc_hour"),
+                     F.hour(local).alias("local_hour"), amount.alias("amount_text"),
+                     S.parse_decimal(amount, 18, 2).alias("amount"))
+
+
+def q_order_window_days(spark, d):
+    """M1: days from order to delivery when both are set and not reversed."""
+    h = mart(spark, d).headers
+    return h.select("order_id", M.duration_days("order_date", "delivery_date").alias("order_to_delivery_days"),
+                    M.duration_days("delivery_date", "order_date").alias("reversed_days"))
+
+
 # ---------------------------------------------------------------------------
 # orders
 # ---------------------------------------------------------------------------

@@ -153,3 +153,18 @@ def test_checks(spark):
     assert CH.check_unique(df, "k", "t").first().violations == 1
     parent = spark.createDataFrame([(1,)], "k int")
     assert CH.check_relationships(df, "k", parent, "k", "t").first().violations == 1
+
+
+def test_sinks_versioned_and_view(spark, tmp_path):
+    from shelfspark.sources.sinks import cut_lineage, register_view, write_table, write_versioned
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    base = str(tmp_path / "t")
+    p1 = write_versioned(df, base)
+    p2 = write_versioned(df.filter("k = 1"), base)
+    assert p1 != p2 and spark.read.parquet(p1).count() == 2 and spark.read.parquet(p2).count() == 1
+    write_table(df, str(tmp_path / "part"), partition_by=["k"])
+    assert spark.read.parquet(str(tmp_path / "part")).filter("k = 2").count() == 1
+    register_view(df, "sink_view_test")
+    assert spark.sql("select count(*) c from sink_view_test").first().c == 2
+    assert cut_lineage(df).count() == 2
