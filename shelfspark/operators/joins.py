@@ -13,22 +13,26 @@ from shelfspark import config
 # Most distinct values a DATE column can hold (0001-01-01 .. 9999-12-31).
 DATE_DOMAIN_ROWS = 3_652_059
 
-_FITS: dict[int, tuple[DataFrame, int, bool]] = {}
+_FITS: dict[tuple[int, int], bool] = {}
+
+
+def _plan_key(df: DataFrame) -> int:
+    # canonicalized (expression-id free) hash of the analyzed plan: equal for
+    # equal plans even when the DataFrames were built separately
+    return df._jdf.queryExecution().analyzed().semanticHash()
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     The check is a bounded action (``limit(max_rows + 1).count()``).  The
-    answer is remembered for the lifetime of this DataFrame object, so a
-    dimension reused by many queries is counted once.
+    answer is remembered per plan within the process, so a dimension reused
+    by many queries is counted once (rebuild the plan after its inputs change).
     """
-    hit = _FITS.get(id(df))
-    if hit is not None and hit[0] is df and hit[1] == max_rows:
-        return hit[2]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    _FITS[id(df)] = (df, max_rows, ok)
-    return ok
+    key = (_plan_key(df), max_rows)
+    if key not in _FITS:
+        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _FITS[key]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS,
@@ -57,9 +61,11 @@ def star_lookup(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str | Sequen
         key_list = [keys] if isinstance(keys, str) else list(keys)
         extra = [c for c in cols if c not in key_list]
         side = dim.select(*key_list, *extra)
+        if fits_broadcast(dim, max_rows):  # checked on the whole dimension: one memo entry per dimension
+            side = F.broadcast(side)
         # the dimension's attribute wins over a same-named fact column
         out = out.drop(*[c for c in extra if c in out.columns])
-        out = out.join(checked_broadcast(side, max_rows), on=key_list, how=how)
+        out = out.join(side, on=key_list, how=how)
     return out
 
 
@@ -74,15 +80,18 @@ def with_group_total(df: DataFrame, group: str | Sequence[str], measure: str, to
     """Attach per-group totals via aggregate + equi join (NULL group -> NULL total).
 
     The aggregate uses map-side partial sums, so a hot group costs one partial
-    row per task; the small totals side is broadcast behind a size check and
-    the detail side is never shuffled for it.
+    row per task.  A date group has a static bound (one total per day), so its
+    totals are broadcast and the detail side is never shuffled for it.  Other
+    groups have no bound short of running the aggregate; counting it would
+    recompute the whole input, so the join is left to AQE, which broadcasts
+    the totals from their measured shuffle size.
     """
     keys = [group] if isinstance(group, str) else list(group)
     totals = df.groupBy(*keys).agg(F.sum(measure).alias(total_name))
-    known = None
     if len(keys) == 1 and df.schema[keys[0]].dataType.typeName() == "date":
         known = DATE_DOMAIN_ROWS + 1  # one total per date (+ NULL), whatever the data size
-    return df.join(checked_broadcast(totals, max(max_rows, known or 0), known), on=keys, how="left")
+        return df.join(checked_broadcast(totals, max(max_rows, known), known), on=keys, how="left")
+    return df.join(totals, on=keys, how="left")
 
 
 def share_of_group(df: DataFrame, group: str | Sequence[str], measure: str, out: str,

@@ -13,7 +13,7 @@ from shelfspark.functions import metrics as M
 from shelfspark.functions.clean import blank_to_null, join_parts
 from shelfspark.functions.keys import date_key, surrogate_key
 from shelfspark.operators.dedup import latest_per_key
-from shelfspark.operators.joins import checked_broadcast
+from shelfspark.operators.joins import star_lookup
 
 DATE_COLUMNS = ["date_key", "full_date", "year", "quarter", "month", "week", "day_of_week", "day_name",
                 "holiday_flag", "season"]
@@ -64,8 +64,7 @@ def dim_marketing_campaign(campaigns: DataFrame) -> DataFrame:
 def dim_products(history: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Latest snapshot per product (newest date first, NULL dates first as in the dialect)."""
     latest = latest_per_key(history, ["product_id"], [("source_snapshot_date", True, True), ("product_history_key", True, False)])
-    sup = suppliers.select("supplier_id", "supplier_name")
-    return latest.join(checked_broadcast(sup), "supplier_id", "left").select(
+    return star_lookup(latest, [(suppliers, "supplier_id", ["supplier_name"])]).select(
         surrogate_key("product_id").alias("product_key"), "product_id", "product_name", "category",
         "subcategory", "unit_price", "cost_price", "supplier_id", "supplier_name")
 
@@ -97,10 +96,7 @@ def fact_inventory(inventory: DataFrame, products: DataFrame, stores: DataFrame,
                    calendar_start=config.CALENDAR_START,
                    calendar_end_exclusive=config.CALENDAR_END_EXCLUSIVE) -> DataFrame:
     """Natural keys -> surrogate keys (NULL when the dimension lacks the member)."""
-    f = inventory
-    for dim, nat, key in ((products, "product_id", "product_key"), (stores, "store_id", "store_key"),
-                          (suppliers, "supplier_id", "supplier_key")):
-        side = dim.select(nat, key)
-        f = f.join(checked_broadcast(side), nat, "left")
+    f = star_lookup(inventory, [(products, "product_id", ["product_key"]), (stores, "store_id", ["store_key"]),
+                                (suppliers, "supplier_id", ["supplier_key"])])
     f = f.withColumn("date_key", calendar_date_key("inventory_date", calendar_start, calendar_end_exclusive))
     return f.select(*FACT_INVENTORY_COLUMNS)
