@@ -16,13 +16,18 @@ def freshness(df: DataFrame, ts: Column | str, source: str, as_of,
     """One row: (source, max_loaded_at, age_hours, status) with status pass / warn / error.
 
     ``ts`` is any timestamp expression (e.g. a JSON date cast strictly);
-    ``as_of`` is a timestamp literal or Column (use ``F.current_timestamp()``
-    for the live check).  A source with no rows is an error.
+    ``as_of`` is a wall-clock datetime or a Column (use ``F.current_timestamp()``
+    for the live check).  Times are compared as wall-clock (``timestamp_ntz``)
+    values, so the result does not depend on the session time zone.  A source
+    with no rows is an error.
     """
     t = F.col(ts) if isinstance(ts, str) else ts
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-    agg = df.agg(F.max(t).cast("timestamp").alias("max_loaded_at"))
-    age = (F.unix_micros(now) - F.unix_micros(F.col("max_loaded_at"))).cast("double") / 3.6e9
+    if isinstance(as_of, Column):
+        now = as_of.cast("timestamp_ntz")
+    else:  # wall-clock literal: independent of the session time zone
+        now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+    agg = df.agg(F.max(t).cast("timestamp_ntz").alias("max_loaded_at"))
+    age = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now).cast("double") / 3.6e9
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
               .when(F.col("age_hours") > error_hours, F.lit("error"))
               .when(F.col("age_hours") > warn_hours, F.lit("warn"))
