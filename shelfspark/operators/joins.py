@@ -135,10 +135,14 @@ def flatten_items(df: DataFrame, array_col: str, item_col: str = "item_data",
                   index_col: str | None = "item_number") -> DataFrame:
     """One row per array element (non-outer: empty/NULL arrays give no rows).
 
-    ``index_col`` is the 1-based element position.
+    ``index_col`` is the 1-based element position.  Written as an outer
+    explode + position filter: a plain explode makes Catalyst add a
+    ``size(array) > 0`` filter that evaluates the array expression (e.g. a
+    JSON parse) a second time.
     """
     rest = [c for c in df.columns if c != array_col]
+    out = (df.select(*rest, F.posexplode_outer(array_col).alias("_pos", item_col))
+             .filter(F.col("_pos").isNotNull()))
     if index_col is None:
-        return df.select(*rest, F.explode(array_col).alias(item_col))
-    return (df.select(*rest, F.posexplode(array_col).alias("_pos", item_col))
-              .withColumn(index_col, F.col("_pos") + 1).drop("_pos"))
+        return out.drop("_pos")
+    return out.withColumn(index_col, F.col("_pos") + 1).drop("_pos")
