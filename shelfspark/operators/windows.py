@@ -25,6 +25,7 @@ def global_ntile(df: DataFrame, n: int, order: Sequence[OrderItem], out: str,
                  num_partitions: int | None = None) -> DataFrame:
     """NTILE(n) over a global order without pulling all rows into one task.
 
+    0. checkpoint the input (the range partitioner's sampling job then reads it);
     1. range-partition on the order and sort inside partitions;
     2. tag rows with their partition id and a per-partition position
        (``monotonically_increasing_id`` is dense inside a partition);
@@ -37,7 +38,10 @@ def global_ntile(df: DataFrame, n: int, order: Sequence[OrderItem], out: str,
     """
     sort_cols: list[Column] = [sort_column(o) for o in order]
     parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    tagged = (df.repartitionByRange(parts, *sort_cols)
+    # materialise the input once: the range partitioner samples it in a separate job,
+    # which would otherwise recompute the whole upstream plan
+    base = df.checkpoint(eager=True)
+    tagged = (base.repartitionByRange(parts, *sort_cols)
                 .sortWithinPartitions(*sort_cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id())
