@@ -168,3 +168,52 @@ def test_sinks_versioned_and_view(spark, tmp_path):
     register_view(df, "sink_view_test")
     assert spark.sql("select count(*) c from sink_view_test").first().c == 2
     assert cut_lineage(df).count() == 2
+
+
+def test_strict_parsers_raise(spark):
+    from shelfspark.functions import clean as S
+
+    df = spark.createDataFrame([("junk",)], "x string")
+    with pytest.raises(Exception):
+        df.select(S.parse_bool("x", strict=True)).collect()
+    with pytest.raises(Exception):
+        df.select(S.parse_date("x", strict=True)).collect()
+    ok = spark.createDataFrame([("yes",), ("",)], "x string").select(S.parse_bool("x", strict=True).alias("b"))
+    assert [r.b for r in ok.collect()] == [True, None]
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holds a third of all rows: results equal the literal window forms."""
+    from pyspark.sql import Window
+
+    n = 30000
+    rows = [(0 if i % 3 == 0 else i, i % 17, D(2024, 1, 1) + dt.timedelta(days=i % 40), i % 11 - 3) for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, v int, d date, q int").repartition(6)
+    got = latest_per_key(df, ["k"], [("d", True, False), ("v", True, False), ("q", True, False)])
+    w = Window.partitionBy("k").orderBy(F.col("d").desc(), F.col("v").desc(), F.col("q").desc())
+    ref = df.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    shares = share_of_group(df, "d", "q", "pct")
+    tot = F.sum("q").over(Window.partitionBy("d"))
+    ref2 = df.withColumn("pct", F.when(tot > 0, F.round(F.col("q") / tot * 100.0, 6)).otherwise(F.lit(0.0)))
+    assert shares.select(*ref2.columns).exceptAll(ref2).count() == 0 and ref2.exceptAll(shares.select(*ref2.columns)).count() == 0
+    # the hot key stays a single group of the dedup, never a single task of the whole input
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "SinglePartition" not in plan
+
+
+def test_fan_out_with_sales_equals_join_form(spark):
+    from shelfspark.plans import inventory as I
+
+    hist = spark.createDataFrame(
+        [(1, D(2024, 1, 1), 5, 3, 9, None), (1, D(2024, 1, 2), 4, 3, 9, None), (2, D(2024, 1, 1), 1, 3, 8, None)],
+        "product_id int, source_snapshot_date date, stock_quantity bigint, reorder_level bigint, supplier_id int, "
+        "cost_price decimal(18,2)")
+    pairs = spark.createDataFrame([(1, 10), (1, 11), (2, 10)], "product_id int, store_id int")
+    sales = spark.createDataFrame([(1, 10, D(2024, 1, 2), 2), (2, 10, D(2024, 1, 1), 1)],
+                                  "product_id int, store_id int, inventory_date date, sold_quantity bigint")
+    fast = I.fan_out_with_sales(hist, pairs, sales)
+    slow = I.with_sales(I.fan_out(I.stock_snapshots(hist), pairs), sales)
+    cols = ["product_id", "store_id", "inventory_date", "beginning_stock", "ending_stock", "sold_quantity",
+            "previous_inventory_date"]
+    assert sorted(tuple(r) for r in fast.select(*cols).collect()) == sorted(tuple(r) for r in slow.select(*cols).collect())
