@@ -23,7 +23,6 @@ Parse rules
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame

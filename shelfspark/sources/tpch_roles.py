@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.keys import surrogate_key
 from shelfspark.operators.dedup import latest_per_key
-from shelfspark.operators.joins import checked_broadcast
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES for the test-data roles
@@ -144,13 +143,6 @@ def order_items(t: Tables, headers: DataFrame | None = None) -> DataFrame:
                   .withColumn("order_item_key", surrogate_key("order_id", "item_number")))
 
 
-def all_order_items(t: Tables, headers: DataFrame | None = None) -> DataFrame:
-    """Every item version joined to its header (what the order roll-up aggregates)."""
-    h = (headers if headers is not None else order_headers(t)).select(
-        "order_id", "order_date", "order_status", "customer_id", "store_id")
-    return item_versions(t).select(*ITEM_COLUMNS).join(h, "order_id", "left")
-
-
 # ---------------------------------------------------------------------------
 # products, stores, suppliers, customers, campaigns
 # ---------------------------------------------------------------------------
