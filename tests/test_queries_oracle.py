@@ -78,3 +78,21 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "inventory_key" in df.columns
+
+
+def test_invariants_on_test_tables(spark):
+    """SURVEY section 5 (d): shares sum to 100 where the day's total is positive; keys are unique."""
+    from pyspark.sql import functions as F
+
+    import __spark_entry__ as E
+
+    share = E.queries()["contribution_share"](spark, SF)
+    per_day = share.groupBy("inventory_date").agg(F.sum("purchased_quantity").alias("t"),
+                                                  F.sum("supplier_contribution_percentage").alias("s"))
+    bad = per_day.filter((F.col("t") > 0) & (F.abs(F.col("s") - 100.0) > 1e-3)).count()
+    assert bad == 0
+    assert per_day.filter(F.col("t") > 0).count() > 0
+    inv = E.queries()["inventory_movement"](spark, SF)
+    assert inv.count() == inv.select("inventory_key").distinct().count()
+    latest = E.queries()["latest_per_key"](spark, SF)
+    assert latest.count() == latest.select("order_id", "item_number").distinct().count()
