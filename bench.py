@@ -38,7 +38,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES")
     names = names.split(",") if names else (list(QUERIES) if os.environ.get("BENCH_ALL") else HEADLINE)
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=parts)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     times: dict[str, float] = {}
     for name in names:
@@ -55,7 +56,7 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": total, "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace('.', '', 1).isdigit() else sf,
-                      "cpus": int(cpus), "shuffle_partitions": int(cpus), "runs": runs}))
+                      "cpus": int(cpus), "shuffle_partitions": parts, "runs": runs}))
     spark.stop()
 
 

@@ -204,3 +204,11 @@ def test_pipeline_run_and_increment(spark, landing):
     assert r1.tables["fact_inventory"] != r2.tables["fact_inventory"]   # new version, old one untouched
     assert spark.read.parquet(r1.tables["fact_inventory"]).count() == 2
     assert spark.read.parquet(r2.tables["fact_inventory"]).count() == 3
+    # product snapshots: one open version per (product, file date); the new file adds one, nothing is closed twice
+    s1 = spark.read.parquet(r1.tables["snp_products"])
+    s2 = spark.read.parquet(r2.tables["snp_products"])
+    assert s1.filter("is_current").count() == 2 and s2.filter("is_current").count() == 3
+    # the supplier feed's day pattern does not match day 13, so that delivery has no snapshot date
+    assert spark.read.parquet(r1.tables["snp_suppliers"]).count() == 0
+    c2 = spark.read.parquet(r2.tables["snp_customers"])
+    assert c2.groupBy("customer_id").agg(F.sum(F.col("is_current").cast("int")).alias("n")).filter("n > 1").count() == 0
