@@ -39,11 +39,12 @@ def after_high_watermark(source: DataFrame, target: DataFrame | None, date_col:
                          default: _dt.date = config.HIGH_WATERMARK_DEFAULT) -> DataFrame:
     """Only source rows strictly newer than the target's max ``date_col``.
 
-    The max is a scalar subquery (one-row aggregate) broadcast into the filter,
-    so with a date-partitioned source the filter prunes partitions.  Rows with a
-    NULL date are never loaded incrementally.
+    The mark is a scalar subquery (a one-row aggregate, run once before the
+    scan), so the filter is a plain comparison with a value: no join, and a
+    source partitioned by the date prunes its partitions.  Rows with a NULL
+    date are never loaded incrementally.
     """
     if target is None:
         return source
-    mark = target.agg(F.coalesce(F.max(date_col), F.lit(default)).alias("_hwm"))
-    return (source.join(F.broadcast(mark), F.col(date_col) > F.col("_hwm"), "inner").drop("_hwm"))
+    mark = target.agg(F.coalesce(F.max(date_col), F.lit(default))).scalar()
+    return source.filter(F.col(date_col) > mark)

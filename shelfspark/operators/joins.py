@@ -70,9 +70,12 @@ def star_lookup(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str | Sequen
 
 
 def with_total(df: DataFrame, measure: str, total_name: str) -> DataFrame:
-    """Attach the grand total of ``measure`` (a one-row aggregate, broadcast)."""
-    total = df.agg(F.sum(measure).alias(total_name))
-    return df.crossJoin(F.broadcast(total))
+    """Attach the grand total of ``measure``.
+
+    The total is a scalar subquery (a one-row aggregate with map-side partial
+    sums, run once and inlined as a value), so no join is planned at all.
+    """
+    return df.withColumn(total_name, df.agg(F.sum(measure)).scalar())
 
 
 def with_group_total(df: DataFrame, group: str | Sequence[str], measure: str, total_name: str,

@@ -332,11 +332,9 @@ def q_store_performance(spark, d):
 
 def q_date_dimension(spark, d):
     m = mart(spark, d)
-    lo = m.t.orders.agg(F.min(F.to_date("o_orderdate")).alias("lo"))
-    hi = m.t.lineitem.agg(F.date_add(F.max(F.to_date("l_shipdate")), 1).alias("hi"))
-    days = lo.crossJoin(hi).select(
-        F.explode(F.sequence("lo", F.date_sub("hi", 1), F.expr("interval 1 day"))).alias("full_date"))
-    return G.date_attributes(days)
+    lo = m.t.orders.agg(F.min(F.to_date("o_orderdate"))).scalar()
+    hi = m.t.lineitem.agg(F.date_add(F.max(F.to_date("l_shipdate")), 1)).scalar()
+    return G.date_attributes(G.date_spine(spark, lo, hi))
 
 
 # ---------------------------------------------------------------------------
