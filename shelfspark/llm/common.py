@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's code to the executors' Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="corpus-code-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(target))
+        _SHIPPED.add(app)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

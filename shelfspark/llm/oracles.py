@@ -81,7 +81,37 @@ SELECT doc_id, size, crc::BIGINT AS text_crc32, 'rows' AS law, (v % 16)::INTEGER
 FROM p JOIN done USING (i)
 """
 
+OP1 = r"""
+WITH it AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark WHERE item_id IS NOT NULL
+), win AS (
+  SELECT DISTINCT item_id, ws[i:least(i + 9, len(ws))] AS win
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM it WHERE len(ws) > 0)
+), dw AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), sizes AS (SELECT DISTINCT len(win) AS n FROM win),
+spots AS (
+  SELECT doc_id, n, i, ws[i:i + n - 1] AS win
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM dw, sizes WHERE len(ws) >= n)
+), found AS (
+  SELECT s.doc_id, w.item_id, s.i, s.n FROM spots s JOIN win w ON w.win = s.win
+), hit AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+), ids AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS k FROM found) GROUP BY doc_id
+)
+SELECT dw.doc_id, coalesce(len(ws), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit ON hit.doc_id = dw.doc_id LEFT JOIN ids ON ids.doc_id = dw.doc_id
+"""
+
 ORACLE_SQL = {
+    "op1_decontamination": OP1,
     "op6_quality_rules": OP6,
     "op7_sharding": OP7.replace("@TABLE@", _crc_table()).replace("@SEED@", "20240917"),
 }

@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles, quality_rules, sharding, url_rules
+from . import bpe, decontamination, oracles, quality_rules, sharding, url_rules
 from .common import table
 
 POLICY = "v2"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 16
 SHARD_SEED = 20240917
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(names.cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")), POLICY)
     return rows.select(
@@ -35,6 +46,15 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
+    both = bpe.decode(encoded, path, pattern)
+    return both.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_rules.judge(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "confidence")
@@ -42,6 +62,6 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op6_quality_rules, op7_sharding, op10_url_filters)
+    for f in (op1_decontamination, op6_quality_rules, op7_sharding, op8_byte_bpe, op10_url_filters)
 }
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
