@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, oracles, quality_rules, sharding, url_rules
-from .common import table
+from . import bpe, decontamination, language_id, oracles, quality_rules, rule_ensemble, sharding, url_rules
+from .common import held_out, table
 
 POLICY = "v2"
+QUALITY_LEAST = 0.7
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 16
 SHARD_SEED = 20240917
@@ -26,6 +27,21 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = language_id.identify(table(spark, sf_dir, "documents"), ~held_out(F.col("id")))
+    return named.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = rule_ensemble.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("id")))
+    scored = rule_ensemble.score(docs, model)
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")), POLICY)
     return rows.select(
@@ -62,6 +78,9 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op6_quality_rules, op7_sharding, op8_byte_bpe, op10_url_filters)
+    for f in (
+        op1_decontamination, op2_language_id, op5_quality_classifier, op6_quality_rules, op7_sharding, op8_byte_bpe,
+        op10_url_filters,
+    )
 }
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
