@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_id, oracles, quality_rules, rule_ensemble, sharding, url_rules
+from . import bpe, decontamination, html_extraction, language_id, oracles, quality_rules, rule_ensemble, sharding, url_rules
 from .common import held_out, table
 
 POLICY = "v2"
@@ -32,6 +32,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extraction.extract(table(spark, sf_dir, "pages"), keep=("url",))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = rule_ensemble.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("id")))
@@ -79,8 +84,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_decontamination, op2_language_id, op5_quality_classifier, op6_quality_rules, op7_sharding, op8_byte_bpe,
-        op10_url_filters,
+        op1_decontamination, op2_language_id, op4_html_extraction, op5_quality_classifier, op6_quality_rules, op7_sharding,
+        op8_byte_bpe, op10_url_filters,
     )
 }
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL

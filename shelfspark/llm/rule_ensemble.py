@@ -28,7 +28,7 @@ from .quality_rules import words
 
 #: Labelled rows that trees and weights are fitted on, at most.
 SAMPLE_ROWS = 20_000
-TREES, DEPTH, LASSO = 12, 3, 0.002
+TREES, DEPTH, LASSO = 20, 4, 0.0001
 STATISTICS = (
     "symbol_ratio", "bang_ratio", "capital_ratio", "digit_ratio", "distinct_ratio", "mean_word", "line_words",
     "repeated_lines", "stop_ratio", "log_words",
