@@ -110,7 +110,31 @@ SELECT dw.doc_id, coalesce(len(ws), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::B
 FROM dw LEFT JOIN hit ON hit.doc_id = dw.doc_id LEFT JOIN ids ON ids.doc_id = dw.doc_id
 """
 
+OP9 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, ws[i:i + 3] AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+        GROUP BY 1, 2) p JOIN n a ON a.doc_id = p.a JOIN n b ON b.doc_id = p.b
+  WHERE 100 * shared >= 85 * (a.n + b.n - shared)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM w
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b
+)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a = w.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id
+"""
+
 ORACLE_SQL = {
+    "op9_jaccard_join": OP9,
     "op1_decontamination": OP1,
     "op6_quality_rules": OP6,
     "op7_sharding": OP7.replace("@TABLE@", _crc_table()).replace("@SEED@", "20240917"),

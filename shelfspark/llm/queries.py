@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, html_extraction, language_id, oracles, quality_rules, rule_ensemble, sharding, url_rules
+from . import bpe, decontamination, html_extraction, jaccard_join, language_id, oracles, quality_rules, rule_ensemble, sharding, url_rules
 from .common import held_out, table
 
 POLICY = "v2"
@@ -76,6 +76,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_rules.judge(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "confidence")
@@ -85,7 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_language_id, op4_html_extraction, op5_quality_classifier, op6_quality_rules, op7_sharding,
-        op8_byte_bpe, op10_url_filters,
+        op8_byte_bpe, op9_jaccard_join, op10_url_filters,
     )
 }
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
