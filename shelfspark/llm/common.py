@@ -59,3 +59,16 @@ def held_out(doc_id: Column) -> Column:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """Just the named columns, so that columns with clashing names never meet the operator's own."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def kept_rows(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.where(condition)`` that evaluates the columns behind the condition once: a filter is not pushed below a
+    projection that numbers rows, where it would repeat every expression that its columns stand for."""
+    return df.withColumn("_at", F.monotonically_increasing_id()).where(condition & (F.col("_at") >= 0)).drop("_at")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``key`` (long, unique), ``row`` (struct of all columns) and ``text``.  The key depends on the files that are read
+    alone, so several jobs over one written table agree; columns of the table can't clash with it."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(F.monotonically_increasing_id().alias("key"), row.alias("row"), F.col("`text`").alias("text"))

@@ -208,9 +208,11 @@ def phrase_slices(items: DataFrame, id_col: str = "item_id", text_col: str = "te
         yield [(w, tuple(sorted(o))) for w, o in sorted(owners.items())]
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, slop: int = 0, window: int = WINDOW, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Index the documents, store the index in the shared folder and search every benchmark window."""
-    index = stored(build_index(docs, block_tokens=block_tokens), "postings")
+def decontaminate(docs: DataFrame, items: DataFrame, slop: int = 0, window: int = WINDOW, block_tokens: int = BLOCK_TOKENS,
+                  id_col: str = "doc_id") -> DataFrame:
+    """Index the documents, store the index in the shared folder and search every benchmark window.
+    The result's ``doc_id`` is the documents' ``id_col``."""
+    index = stored(build_index(docs, id_col, block_tokens=block_tokens), "postings")
     item_type = items.schema["item_id"].dataType
     slices = list(phrase_slices(items, window=window))
     if len(slices) == 1:

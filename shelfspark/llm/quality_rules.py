@@ -64,7 +64,7 @@ def words(text: Column) -> Column:
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, and MEASURES as longs."""
+    """One row per input row: id, and MEASURES as longs.  The id may be of any type, also a struct of a whole row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     df = only(docs, id_col, text_col).toDF("id", "text").withColumn("words", words(F.col("text")))
     df = df.select(
