@@ -529,8 +529,10 @@ FROM item_versions""")
 
 q("name_cleaning", ("customers",), f"""
 SELECT customer_id,
-       nullif({title("regexp_replace(trim(display_name), '[^A-Za-z'' -]', '', 'g')")}, '') AS name_spaced,
-       nullif({title("regexp_replace(trim(display_name), '[^A-Za-z''-]', '', 'g')")}, '') AS name_compact,
+       nullif({title("regexp_replace(trim(display_name), '[^A-Za-z'' -]', '', 'g')")}, '') AS customer_name,
+       nullif({title("regexp_replace(trim(display_name), '[^A-Za-z0-9'' -]', '', 'g')")}, '') AS product_name,
+       nullif(regexp_replace({title("trim(display_name)")}, '[^A-Za-z0-9]', '', 'g'), '') AS history_name,
+       nullif(regexp_replace({title("trim(display_name)")}, '[^A-Za-z0-9'' -]', '', 'g'), '') AS store_name,
        opt_in_text,
        CASE WHEN lower(nullif(trim(opt_in_text), '')) IN ('true', 't', 'yes', 'y', 'on', '1') THEN TRUE
             WHEN lower(nullif(trim(opt_in_text), '')) IN ('false', 'f', 'no', 'n', 'off', '0') THEN FALSE END

@@ -96,11 +96,15 @@ def digits(c: ColumnOrName) -> Column:
     return F.nullif(F.regexp_replace(F.trim(_col(c)), r"[^0-9]", ""), F.lit(""))
 
 
-def clean_name(c: ColumnOrName, keep_spaces: bool = True, keep_digits: bool = False) -> Column:
-    """Letters, apostrophes, hyphens (and spaces / digits when asked), title-cased."""
-    allowed = "A-Za-z" + ("0-9" if keep_digits else "") + "'" + (" " if keep_spaces else "") + "-"
-    pattern = f"[^{allowed}]"
-    return F.nullif(title_case(F.regexp_replace(F.trim(_col(c)), pattern, "")), F.lit(""))
+def clean_name(c: ColumnOrName, allowed: str = "A-Za-z' -", strip_first: bool = True) -> Column:
+    """Drop characters outside ``allowed`` and title-case.
+
+    The order matters: stripped first, a removed character joins its neighbours
+    into one word; title-cased first, each part keeps its capital.
+    """
+    pattern, text = f"[^{allowed}]", F.trim(_col(c))
+    out = title_case(F.regexp_replace(text, pattern, "")) if strip_first else F.regexp_replace(title_case(text), pattern, "")
+    return F.nullif(out, F.lit(""))
 
 
 def parse_money(c: ColumnOrName, precision: int = 18, scale: int = 2,
@@ -212,10 +216,10 @@ def parse_bool(c: ColumnOrName, strict: bool = False) -> Column:
 
 
 def percent_to_rate(c: ColumnOrName) -> Column:
-    """Percent text -> rate decimal(18,6) (``'15'`` -> 0.15), default 0."""
+    """Percent text -> rate decimal(18,8) (``'15'`` -> 0.15), default 0."""
     pct = blank_to_null(c).try_cast("decimal(18,6)")
-    return F.coalesce((pct * F.lit(0.01).cast("decimal(18,6)")).cast("decimal(18,6)"),
-                      F.lit(0).cast("decimal(18,6)"))
+    return F.coalesce((pct * F.lit(0.01).cast("decimal(18,6)")).cast("decimal(18,8)"),
+                      F.lit(0).cast("decimal(18,8)"))
 
 
 # ---------------------------------------------------------------------------

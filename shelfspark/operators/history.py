@@ -41,13 +41,14 @@ def scd2_apply(current: DataFrame | None, incoming: DataFrame, key: str | Sequen
     """One snapshot run: close changed open versions, open new ones, keep the rest.
 
     ``incoming`` is reduced to its newest row per key first (``order``, default
-    ``updated_at`` descending).  A key whose newest ``updated_at`` is not later
+    ``updated_at`` descending, undated rows first as in the dialect).  An undated
+    row opens a version of a new key and never replaces one.  A key whose newest ``updated_at`` is not later
     than its open version is left unchanged, so re-running adds nothing.
     Returns the complete new history, to be written to a new location.
     """
     keys = _key_list(key)
-    order = list(order) if order else [(updated_at, True, False)]
-    latest = latest_per_key(incoming.filter(F.col(updated_at).isNotNull()), keys, order)
+    order = list(order) if order else [(updated_at, True, True)]
+    latest = latest_per_key(incoming, keys, order)
     fresh = (latest.withColumn("scd_id", surrogate_key(*keys, updated_at))
                    .withColumn("valid_from", F.col(updated_at))
                    .withColumn("valid_to", F.lit(None).cast(latest.schema[updated_at].dataType))
@@ -62,8 +63,8 @@ def scd2_apply(current: DataFrame | None, incoming: DataFrame, key: str | Sequen
                 .withColumn("valid_to", F.when(F.col("_chg"), F.col("_new_ts")).otherwise(F.col("valid_to")))
                 .withColumn("is_current", ~F.col("_chg"))
                 .drop("_new_ts", "_chg"))
-    prev = open_.select(*keys, F.col(updated_at).alias("_old_ts"))
+    prev = open_.select(*keys, F.col(updated_at).alias("_old_ts"), F.lit(True).alias("_known"))
     opened = (fresh.join(prev, keys, "left")
-                   .filter(F.col("_old_ts").isNull() | (F.col(updated_at) > F.col("_old_ts")))
-                   .drop("_old_ts"))
+                   .filter(F.col("_known").isNull() | (F.col(updated_at) > F.col("_old_ts")))
+                   .drop("_old_ts", "_known"))
     return closed.unionByName(open_out).unionByName(opened, allowMissingColumns=True)

@@ -13,40 +13,16 @@ from shelfspark import config
 # Most distinct values a DATE column can hold (0001-01-01 .. 9999-12-31).
 DATE_DOMAIN_ROWS = 3_652_059
 
-_FITS: dict[tuple[int, int], bool] = {}
-
-
-def _plan_key(df: DataFrame) -> int:
-    # canonicalized (expression-id free) hash of the analyzed plan: equal for
-    # equal plans even when the DataFrames were built separately
-    return df._jdf.queryExecution().analyzed().semanticHash()
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The check is a bounded action (``limit(max_rows + 1).count()``).  The
-    answer is remembered per plan within the process, so a dimension reused
-    by many queries is counted once (rebuild the plan after its inputs change).
-    """
-    key = (_plan_key(df), max_rows)
-    if key not in _FITS:
-        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _FITS[key]
-
-
 def checked_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS,
                       known_max_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only when the row bound is proven; otherwise the plain side.
+    """Broadcast hint only for a side whose bound holds by construction (e.g. one row per date).
 
-    ``known_max_rows`` is a bound that holds by construction (e.g. one row per
-    date); when it is within ``max_rows`` no counting job is run.  Beyond the
-    bound the optimizer picks a shuffle join, and AQE may still switch to a
-    broadcast at run time from measured shuffle sizes.
+    No job is run to find out: without a bound the side stays plain and AQE
+    broadcasts it from its measured shuffle size, or not.
     """
     if known_max_rows is not None and known_max_rows <= max_rows:
         return F.broadcast(df)
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return df
 
 
 def star_lookup(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str | Sequence[str], Sequence[str]]],
@@ -54,15 +30,13 @@ def star_lookup(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str | Sequen
     """Fact LEFT JOIN each dimension on its natural key, adding the listed columns.
 
     ``lookups`` = [(dim, join_key(s), columns_to_add)].  Each dimension is
-    projected to key + wanted columns and broadcast only behind a size check.
+    projected to key + wanted columns; AQE broadcasts it if its measured size allows.
     """
     out = fact
     for dim, keys, cols in lookups:
         key_list = [keys] if isinstance(keys, str) else list(keys)
         extra = [c for c in cols if c not in key_list]
         side = dim.select(*key_list, *extra)
-        if fits_broadcast(dim, max_rows):  # checked on the whole dimension: one memo entry per dimension
-            side = F.broadcast(side)
         # the dimension's attribute wins over a same-named fact column
         out = out.drop(*[c for c in extra if c in out.columns])
         out = out.join(side, on=key_list, how=how)
@@ -106,7 +80,15 @@ def share_of_group(df: DataFrame, group: str | Sequence[str], measure: str, out:
     whole group (e.g. one date at 100 TB) into one window task.
     """
     tot = "_group_total"
-    joined = with_group_total(df, group, measure, tot, max_rows)
+    keys = [group] if isinstance(group, str) else list(group)
+    # NULL groups are groups of their own, as in PARTITION BY
+    totals = df.groupBy(*keys).agg(F.sum(measure).alias(tot)).withColumnsRenamed({k: f"_g_{k}" for k in keys})
+    if len(keys) == 1 and df.schema[keys[0]].dataType.typeName() == "date":
+        totals = checked_broadcast(totals, max(max_rows, DATE_DOMAIN_ROWS + 1), DATE_DOMAIN_ROWS + 1)
+    same = F.lit(True)
+    for k in keys:
+        same = same & df[k].eqNullSafe(totals[f"_g_{k}"])
+    joined = df.join(totals, same, "left").drop(*[f"_g_{k}" for k in keys])
     share = F.col(measure).cast("double") / F.col(tot).cast("double") * 100.0
     if round_to is not None:
         share = F.round(share, round_to)

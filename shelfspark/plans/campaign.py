@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions import metrics as M
 from shelfspark.functions.keys import date_key, surrogate_key
-from shelfspark.operators.joins import checked_broadcast, explode_date_range, fits_broadcast
+from shelfspark.operators.joins import checked_broadcast, explode_date_range
 
 FACT_COLUMNS = ["marketing_performance_key", "campaign_key", "date_key", "campaign_id", "full_date",
                 "total_sales_influenced", "new_customers_acquired", "repeat_purchase_rate",
@@ -132,7 +132,7 @@ def fact_marketing_performance(campaign_dim: DataFrame, calendar: DataFrame, ord
     si = sales_influenced(days, fact_sales)
     nc = new_customers(days, fact_sales)
     # one metrics row per campaign that had in-window sales: bounded by the campaign dimension
-    metrics_side = F.broadcast(metrics_c) if fits_broadcast(campaign_dim) else metrics_c
+    metrics_side = metrics_c
     m = (days.join(si, ["campaign_key", "date_key"], "left")
              .join(nc, ["campaign_key", "date_key"], "left")
              .join(metrics_side, "campaign_key", "left"))

@@ -58,7 +58,9 @@ def dim_marketing_campaign(campaigns: DataFrame) -> DataFrame:
     return campaigns.select(
         surrogate_key("campaign_id").alias("campaign_key"), "campaign_id", "campaign_name",
         F.col("demographics").alias("target_audience_segment"), "budget",
-        M.duration_days("start_date", "end_date").alias("duration"), "start_date", "end_date")
+        M.duration_days("start_date", "end_date").alias("duration"), "start_date", "end_date",
+        *[F.col(c).alias(a) for c, a in (("total_cost", "total_cost"), ("total_revenue", "total_revenue"), ("roi_calculation", "roi"))
+          if c in campaigns.columns])
 
 
 def dim_products(history: DataFrame, suppliers: DataFrame) -> DataFrame:
@@ -66,13 +68,15 @@ def dim_products(history: DataFrame, suppliers: DataFrame) -> DataFrame:
     latest = latest_per_key(history, ["product_id"], [("source_snapshot_date", True, True), ("product_history_key", True, False)])
     return star_lookup(latest, [(suppliers, "supplier_id", ["supplier_name"])]).select(
         surrogate_key("product_id").alias("product_key"), "product_id", "product_name", "category",
-        "subcategory", "unit_price", "cost_price", "supplier_id", "supplier_name")
+        "subcategory", *[c for c in ("product_line", "brand", "color", "size") if c in latest.columns],
+        "unit_price", "cost_price", "supplier_id", "supplier_name")
 
 
 def dim_stores(stores: DataFrame) -> DataFrame:
     return stores.select(
         surrogate_key("store_id").alias("store_key"), "store_id", "store_name",
-        join_parts(", ", "address_city", "address_state", "address_country").alias("address"),
+        (F.col("standardized_address") if "standardized_address" in stores.columns else
+         join_parts(", ", "address_city", "address_state", "address_country")).alias("address"),
         "address_city", "address_state", "address_country", "opening_date",
         M.store_size_band("size_sq_ft").alias("size_category"))
 

@@ -42,11 +42,11 @@ WATERMARK_TARGET_UNTIL = _dt.date(1999, 12, 31)
 FRESHNESS_EVENTS_AS_OF = _dt.datetime(2024, 1, 31, 12, 0, 0)
 FRESHNESS_ORDERS_AS_OF = _dt.datetime(2001, 8, 2, 12, 0, 0)
 
-_MARTS: dict[tuple[int, str], Mart] = {}
+_MARTS: dict[tuple[str, str], Mart] = {}
 
 
 def mart(spark: SparkSession, sf_dir: str) -> Mart:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MARTS:
         _MARTS[key] = Mart(spark, sf_dir)
     return _MARTS[key]
@@ -226,14 +226,16 @@ def q_surrogate_key(spark, d):
 
 
 def q_name_cleaning(spark, d):
-    """S8 (names with / without spaces) and S16 (boolean words) over every customer."""
+    """S8 (the rules of customers, products, product history and stores) and S16 (boolean words) over every customer."""
     c = mart(spark, d).customers
     k = F.col("customer_id") % 5
     flag_text = (F.when(k == 0, F.lit("ON")).when(k == 1, F.lit(" yes")).when(k == 2, F.lit("False"))
                   .when(k == 3, F.lit("maybe")).otherwise(F.lit("")))
     return c.select("customer_id",
-                    S.clean_name("display_name").alias("name_spaced"),
-                    S.clean_name("display_name", keep_spaces=False).alias("name_compact"),
+                    S.clean_name("display_name").alias("customer_name"),
+                    S.clean_name("display_name", "A-Za-z0-9' -").alias("product_name"),
+                    S.clean_name("display_name", "A-Za-z0-9", strip_first=False).alias("history_name"),
+                    S.clean_name("display_name", "A-Za-z0-9' -", strip_first=False).alias("store_name"),
                     flag_text.alias("opt_in_text"), S.parse_bool(flag_text).alias("marketing_opt_in"))
 
 

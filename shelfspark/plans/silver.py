@@ -76,11 +76,17 @@ def _rule(text: Column, rule: str) -> Column:
     if rule == "phone10+":
         return S.phone(text, exact=None, minimum=10)
     if rule == "name":
-        return S.clean_name(text, keep_spaces=True)
+        return S.clean_name(text)
     if rule == "name_ns":
-        return S.clean_name(text, keep_spaces=False)
+        return S.clean_name(text, "A-Za-z0-9", strip_first=False)
     if rule == "street":
-        return S.clean_name(text, keep_spaces=True, keep_digits=True)
+        return S.clean_name(text, "A-Za-z0-9' -")
+    if rule == "title_strip":
+        return S.clean_name(text, "A-Za-z0-9' -", strip_first=False)
+    if rule == "prose":
+        return F.trim(F.regexp_replace(text, r"[^A-Za-z0-9 '.,;:/()&%-]", ""))
+    if rule == "specs":
+        return F.trim(F.regexp_replace(text, r"[^A-Za-z0-9 '.,;:/()&%_=-]", ""))
     if rule == "measure":
         return S.parse_measure(text)
     if rule == "instant":
@@ -131,8 +137,8 @@ CUSTOMER_FIELDS: list[Field] = [
     ("email_raw", "text", "$.email"), ("phone_raw", "text", "$.phone"),
     ("birth_date", "date", "$.birth_date"), ("registration_date", "date", "$.registration_date"),
     ("last_purchase_date", "date", "$.last_purchase_date"), ("last_modified_date", "date", "$.last_modified_date"),
-    ("income_bracket", "title", "$.income_bracket"), ("occupation", "title", "$.occupation"),
-    ("loyalty_tier", "title", "$.loyalty_tier"), ("preferred_communication", "title", "$.preferred_communication"),
+    ("income_bracket", "upper", "$.income_bracket"), ("occupation", "name", "$.occupation"),
+    ("loyalty_tier", "upper", "$.loyalty_tier"), ("preferred_communication", "upper", "$.preferred_communication"),
     ("preferred_payment_method", "title", "$.preferred_payment_method"),
     ("marketing_opt_in", "bool", "$.marketing_opt_in"), ("total_purchases", "number", "$.total_purchases"),
     ("total_spend", "money", "$.total_spend"),
@@ -179,22 +185,22 @@ ITEM_FIELDS: list[Field] = [
 ]
 
 PRODUCT_FIELDS: list[Field] = [
-    ("product_name", "name_ns", "$.name"), ("short_description", "text", "$.short_description"),
-    ("technical_specs", "text", "$.technical_specs"), ("category", "title", "$.category"),
-    ("subcategory", "title", "$.subcategory"), ("product_line", "title", "$.product_line"),
-    ("brand", "title", "$.brand"), ("color", "title", "$.color"), ("size", "upper", "$.size"),
+    ("product_name", "name_ns", "$.name"), ("short_description", "prose", "$.short_description"),
+    ("technical_specs", "specs", "$.technical_specs"), ("category", "name_ns", "$.category"),
+    ("subcategory", "name_ns", "$.subcategory"), ("product_line", "name_ns", "$.product_line"),
+    ("brand", "title", "$.brand"), ("color", "title", "$.color"), ("size", "title", "$.size"),
     ("unit_price", "money", "$.unit_price"), ("cost_price", "money", "$.cost_price"),
     ("stock_quantity", "number", "$.stock_quantity"), ("reorder_level", "number", "$.reorder_level"),
     ("supplier_id", "text", "$.supplier_id"), ("dimensions", "text", "$.dimensions"),
-    ("warranty_period", "text", "$.warranty_period"), ("weight", "measure", "$.weight"),
+    ("warranty_period", "text", "$.warranty_period"), ("weight_kg", "measure", "$.weight"),
     ("launch_date", "date", "$.launch_date"), ("last_modified_date", "date", "$.last_modified_date"),
     ("is_featured", "bool!", "$.is_featured"),
 ]
 
 STORE_FIELDS: list[Field] = [
-    ("store_name", "title", "$.store_name"), ("size_sq_ft", "number", "$.size_sq_ft"),
+    ("store_name", "title_strip", "$.store_name"), ("size_sq_ft", "number", "$.size_sq_ft"),
     ("employee_count", "number", "$.employee_count"), ("opening_date", "date", "$.opening_date"),
-    ("address_street", "title", "$.address.street"), ("address_city", "title", "$.address.city"),
+    ("address_street", "street", "$.address.street"), ("address_city", "title", "$.address.city"),
     ("address_state", "upper", "$.address.state"), ("address_zip_code", "text", "$.address.zip_code"),
     ("address_country", "title", "$.address.country"),
     ("sales_target", "money", "$.sales_target"), ("current_sales", "money", "$.current_sales"),
@@ -287,7 +293,9 @@ def _product_common(df: DataFrame) -> DataFrame:
 
 def silver_products(bronze: DataFrame) -> DataFrame:
     """Latest attributes per product (names keep their spaces here)."""
-    fields = [("product_name", "name", "$.name")] + [f for f in PRODUCT_FIELDS if f[0] != "product_name"]
+    own = {"product_name": "street", "category": "street", "subcategory": "street", "product_line": "street",
+           "short_description": "text", "technical_specs": "text"}
+    fields = [(out, own.get(out, rule), path) for out, rule, path in PRODUCT_FIELDS]
     df = _product_common(extract(bronze, "product_id", fields))
     df = df.withColumn("low_stock_flag", M.low_stock("stock_quantity", "reorder_level"))
     return _latest(df, ["product_id"], NEWEST_FILE).filter(F.col("product_id").isNotNull())
@@ -295,9 +303,9 @@ def silver_products(bronze: DataFrame) -> DataFrame:
 
 def silver_product_history(bronze: DataFrame) -> DataFrame:
     """One row per (product, snapshot date); newest file wins within a day."""
-    df = _product_common(extract(bronze.filter(F.col("product_id").isNotNull()), "product_id", PRODUCT_FIELDS,
-                                 clean_key=False))
-    df = df.withColumns({
+    df = _product_common(extract(bronze.filter(F.col("product_id").isNotNull()), "product_id", PRODUCT_FIELDS))
+    df = df.filter(F.col("product_id").isNotNull()).withColumns({
+        "is_featured": F.coalesce("is_featured", F.lit(False)),
         "product_history_key": surrogate_key("product_id", "source_snapshot_date"),
         "low_stock_flag": M.low_stock("stock_quantity", "reorder_level", on_null=None),
         "profit_margin_percentage": M.margin_pct("unit_price", "cost_price", decimal_scale=None),

@@ -9,7 +9,7 @@ from shelfspark.operators import checks as CH
 from shelfspark.operators.dedup import distinct_pairs, latest_per_key
 from shelfspark.operators.history import scd2_apply, scd2_build
 from shelfspark.operators.incremental import after_high_watermark, merge_upsert, new_rows
-from shelfspark.operators.joins import (checked_broadcast, fits_broadcast, flatten_items, range_to_calendar,
+from shelfspark.operators.joins import (checked_broadcast, flatten_items, range_to_calendar,
                                          share_of_group, star_lookup, with_group_total, with_total)
 from shelfspark.operators.windows import global_ntile, with_previous
 
@@ -55,11 +55,12 @@ def test_global_ntile_matches_ntile(spark, n_rows):
 
 def test_share_of_group_equals_window_sum(spark):
     df = spark.createDataFrame([(D(2024, 1, 1), 3), (D(2024, 1, 1), 1), (D(2024, 1, 2), -2), (D(2024, 1, 2), 1),
-                                (D(2024, 1, 3), None)], "d date, q int")
+                                (D(2024, 1, 3), None), (None, 6), (None, 2)], "d date, q int")
     out = {(r.d, r.q): r.pct for r in share_of_group(df, "d", "q", "pct").collect()}
     assert out[(D(2024, 1, 1), 3)] == 75.0
     assert out[(D(2024, 1, 2), -2)] == 0.0         # total <= 0 -> 0
     assert out[(D(2024, 1, 3), None)] == 0.0       # NULL total -> 0
+    assert out[(None, 6)] == 75.0                  # a NULL date is a group of its own
 
 
 def test_group_total_null_group(spark):
@@ -71,9 +72,12 @@ def test_group_total_null_group(spark):
 
 def test_checked_broadcast(spark):
     small = spark.range(10)
-    assert fits_broadcast(small, 10) and not fits_broadcast(spark.range(11), 10)
-    plan = spark.range(100).join(checked_broadcast(small, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan.lower()
+    def plan(side):
+        return spark.range(100).join(side, "id")._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "broadcast" in plan(checked_broadcast(small, 10, known_max_rows=10))
+    # without a bound by construction nothing is hinted, and nothing is counted
+    assert "broadcast" not in plan(checked_broadcast(small, 10))
+    assert "broadcast" not in plan(checked_broadcast(small, 10, known_max_rows=11))
 
 
 def test_star_lookup_left_semantics(spark):
