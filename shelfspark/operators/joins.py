@@ -110,9 +110,15 @@ def range_to_calendar(ranges: DataFrame, calendar: DataFrame, start: str, end: s
     """``ranges JOIN calendar ON date BETWEEN start AND end`` as an equi join.
 
     Each range is expanded to its days first, so the join is a hash join on the
-    date instead of a nested loop over ranges x calendar.
+    date instead of a nested loop over ranges x calendar.  Ranges are cut to the
+    calendar's bounds before, so an open-ended range is no longer than it.
     """
-    expanded = explode_date_range(ranges, start, end, date_col)
+    lo, hi = (calendar.agg(f(date_col)).scalar() for f in (F.min, F.max))
+    cut = ranges.withColumns({
+        "_from": F.when(F.col(start).isNotNull(), F.greatest(F.col(start), lo)),
+        "_to": F.when(F.col(end).isNotNull(), F.least(F.col(end), hi)),
+    })
+    expanded = explode_date_range(cut, "_from", "_to", date_col).drop("_from", "_to")
     return expanded.join(checked_broadcast(calendar), on=date_col, how="inner")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions import metrics as M
 from shelfspark.functions.keys import date_key, surrogate_key
-from shelfspark.operators.joins import checked_broadcast, explode_date_range
+from shelfspark.operators.joins import checked_broadcast, range_to_calendar
 
 FACT_COLUMNS = ["marketing_performance_key", "campaign_key", "date_key", "campaign_id", "full_date",
                 "total_sales_influenced", "new_customers_acquired", "repeat_purchase_rate",
@@ -48,13 +48,20 @@ def first_purchase(sales: DataFrame) -> DataFrame:
 
 
 def first_repeat_flags(sales: DataFrame, first: DataFrame | None = None) -> DataFrame:
-    """M22 + J8: is the sale on the customer's first day, or later."""
+    """M22 + J8: is the sale on the customer's first day, or later.
+
+    Sales without a customer are neither, and skip the join: as one join key
+    they would all meet in one task.
+    """
     first = first if first is not None else first_purchase(sales)
-    j = sales.join(first, "customer_id", "left")
-    return j.withColumns({
+    named = sales.filter(F.col("customer_id").isNotNull()).join(first, "customer_id", "left")
+    flagged = named.withColumns({
         "is_first_purchase": F.coalesce(F.col("order_date") == F.col("first_purchase_date"), F.lit(False)),
         "is_repeat_purchase": F.coalesce(F.col("order_date") > F.col("first_purchase_date"), F.lit(False)),
     }).drop("first_purchase_date")
+    anonymous = sales.filter(F.col("customer_id").isNull()).withColumns({
+        "is_first_purchase": F.lit(False), "is_repeat_purchase": F.lit(False)})
+    return flagged.unionByName(anonymous)
 
 
 def campaign_dim_slice(campaign_dim: DataFrame) -> DataFrame:
@@ -63,9 +70,8 @@ def campaign_dim_slice(campaign_dim: DataFrame) -> DataFrame:
 
 def campaign_calendar(campaign_dim: DataFrame, calendar: DataFrame) -> DataFrame:
     """One row per campaign day that exists in the calendar."""
-    days = explode_date_range(campaign_dim_slice(campaign_dim), "start_date", "end_date", "full_date")
     cal = calendar.select("date_key", "full_date")
-    return days.join(checked_broadcast(cal), "full_date", "inner").select(
+    return range_to_calendar(campaign_dim_slice(campaign_dim), cal, "start_date", "end_date").select(
         "campaign_key", "campaign_id", "budget", "start_date", "end_date", "date_key", "full_date")
 
 

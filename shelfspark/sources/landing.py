@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.clean import blank_to_null, landing_table_name
 
+#: ``.json`` in any case.
+JSON_GLOB = "*.[jJ][sS][oO][nN]"
+
 
 def discover_landing(spark: SparkSession, root: str) -> DataFrame:
     """Distinct entity folders holding ``.json`` files, with their table names.
@@ -23,7 +26,7 @@ def discover_landing(spark: SparkSession, root: str) -> DataFrame:
     """
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.json")
+             .option("pathGlobFilter", JSON_GLOB)
              .load(root)
              .select("path"))
     folder = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
@@ -40,13 +43,13 @@ def read_landing(spark: SparkSession, root: str, folder: str, layout: str = "lin
     """
     path = f"{root.rstrip('/')}/{folder}"
     if layout == "lines":
-        raw = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+        raw = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", JSON_GLOB)
                .text(path)
                .select(F.col("value").alias("raw_json"), F.col("_metadata.file_path").alias("_source_file"))
                .filter(F.trim("raw_json") != ""))
     elif layout == "array":
         whole = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", "*.json").text(path)
+                 .option("pathGlobFilter", JSON_GLOB).text(path)
                  .select(F.col("value"), F.col("_metadata.file_path").alias("_source_file")))
         raw = whole.select(F.explode(F.from_json("value", "array<string>")).alias("raw_json"), "_source_file")
     else:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators.incremental import new_rows
-from shelfspark.sources.landing import to_bronze
+from shelfspark.sources.landing import JSON_GLOB, to_bronze
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -28,7 +28,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def landing_stream(spark: SparkSession, landing_root: str, folder: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming ``(raw_json, _source_file)`` over the line-delimited JSON files of one folder."""
     return (spark.readStream.format("text")
-            .option("pathGlobFilter", "*.json")
+            .option("pathGlobFilter", JSON_GLOB)
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .load(f"{landing_root.rstrip('/')}/{folder}")
             .select(F.col("value").alias("raw_json"), F.col("_metadata.file_path").alias("_source_file"))

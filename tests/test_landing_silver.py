@@ -84,6 +84,13 @@ def test_discover_landing(spark, landing):
     assert found["orders_data"] == "EXT_ORDERS_DATA"
 
 
+def test_json_suffix_in_any_case(spark, tmp_path):
+    _write(str(tmp_path), "stores_data", "stores_2024-06-01.JSON", [{"store_id": "S1"}], "lines")
+    _write(str(tmp_path), "notes", "notes.txt", [{"x": 1}], "lines")
+    assert [r.folder for r in discover_landing(spark, str(tmp_path)).collect()] == ["stores_data"]
+    assert read_landing(spark, str(tmp_path), "stores_data").count() == 1
+
+
 def test_layouts_keep_every_record(spark, landing):
     lines = read_landing(spark, landing, "orders_data", "lines")
     # H8: every line of the line-delimited files is one record

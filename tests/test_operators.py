@@ -95,6 +95,25 @@ def test_range_to_calendar(spark):
     out = range_to_calendar(ranges, cal, "s", "e")
     assert out.filter("c = 1").count() == 4       # 30, 31 Jan, 1, 2 Feb
     assert out.filter("c = 2").count() == 0       # end before start
+    open_ended = spark.createDataFrame([(3, D(1, 1, 1), D(9999, 12, 31)), (4, None, D(2024, 2, 1)), (5, D(2024, 2, 1), None)],
+                                       "c int, s date, e date")
+    assert {r.c: r["count"] for r in range_to_calendar(open_ended, cal, "s", "e").groupBy("c").count().collect()} == {3: 40}
+    assert range_to_calendar(open_ended, cal.limit(0), "s", "e").count() == 0
+
+
+def test_sales_without_customer_are_neither_first_nor_repeat(spark):
+    from shelfspark.plans.campaign import first_repeat_flags
+
+    rows = [(i, None if i % 3 == 0 else f"c{i % 7}", D(2024, 1, 1 + i % 20)) for i in range(300)]
+    sales = spark.createDataFrame(rows, "order_id int, customer_id string, order_date date")
+    first = {}
+    for _, c, d in rows:
+        first[c] = min(d, first.get(c, d))
+    got = first_repeat_flags(sales)
+    assert got.columns[:3] == ["customer_id", "order_id", "order_date"]
+    assert {(r.order_id, r.is_first_purchase, r.is_repeat_purchase) for r in got.collect()} == {
+        (i, c is not None and d == first[c], c is not None and d > first[c]) for i, c, d in rows}
+    assert got.count() == 300
 
 
 def test_flatten_items_non_outer(spark):
