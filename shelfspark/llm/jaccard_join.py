@@ -40,6 +40,8 @@ VERIFY_COST = 20
 #: Nodes of a task: clusters up to this size stay whole, larger ones are dealt in pairs of blocks of this size.
 BLOCK_NODES = 2000
 BUFFER = 1 << 21
+#: Entries (node, shingle) of a bucket on average: the number of buckets grows with the corpus, so a group stays small.
+BUCKET_ENTRIES = 1 << 22
 
 
 class _Words(dict):
@@ -286,8 +288,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     src = only(docs, id_col, text_col).toDF("id", "text")
     spark = src.sparkSession
     ship(spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     members = stored(doc_nodes(src), "members")
+    entries = members.agg(F.sum("n")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // BUCKET_ENTRIES))
     nodes = stored(prefixes(shared_tokens(postings(src, buckets), buckets), percent), "prefixes")
     roots = connected_components(verified(nodes, clusters(nodes), block, percent))
     least = members.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
