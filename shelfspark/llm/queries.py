@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, html_extraction, jaccard_join, language_id, oracles, quality_rules, rule_ensemble, sharding, url_rules
+from . import bpe, decontamination, html_extraction, jaccard_join, language_id, oracles, quality_rules, rule_ensemble, sharding, token_counts, url_rules
 from .common import held_out, table
 
 POLICY = "v2"
 QUALITY_LEAST = 0.7
 RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 SHARDS = 16
 SHARD_SEED = 20240917
 
@@ -32,6 +33,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram counts over the pieces and scores of PIECES (the files hold no vocabulary of a unigram model)."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_extraction.extract(table(spark, sf_dir, "pages"), keep=("url",))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -88,8 +94,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_decontamination, op2_language_id, op4_html_extraction, op5_quality_classifier, op6_quality_rules, op7_sharding,
-        op8_byte_bpe, op9_jaccard_join, op10_url_filters,
+        op1_decontamination, op2_language_id, op3_token_counts, op4_html_extraction, op5_quality_classifier, op6_quality_rules,
+        op7_sharding, op8_byte_bpe, op9_jaccard_join, op10_url_filters,
     )
 }
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
