@@ -80,7 +80,7 @@ def title(expr: str) -> str:
 def _campaign_values() -> str:
     rows = []
     for cid, name, s, e, budget, demo in R.FIXTURE_CAMPAIGNS:
-        rows.append(f"('{cid}', '{name}', DATE '{s}', DATE '{e}', CAST('{budget}' AS DECIMAL(18,2)), '{demo}')")
+        rows.append(f"('{cid}', '{name}', {s}, {e}, CAST('{budget}' AS DECIMAL(18,2)), '{demo}')")
     return ", ".join(rows)
 
 
@@ -218,8 +218,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(c_nationkey AS BIGINT) AS store_id
         FROM customer"""),
     "campaigns": ((), f"""
-        SELECT * FROM (VALUES {_campaign_values()})
-            t(campaign_id, campaign_name, start_date, end_date, budget, demographics)"""),
+        SELECT campaign_id, campaign_name, CAST(first_day + start_days AS DATE) AS start_date,
+               CAST(first_day + start_days + n_days AS DATE) AS end_date, budget, demographics
+        FROM (VALUES {_campaign_values()})
+            t(campaign_id, campaign_name, start_days, n_days, budget, demographics)
+        JOIN (SELECT o_orderpriority, CAST(min(o_orderdate) AS DATE) AS first_day FROM orders GROUP BY o_orderpriority)
+            ON o_orderpriority = campaign_id"""),
     "dim_date": ((), f"""
         SELECT {dkey('d')} AS date_key, d AS full_date, CAST(year(d) AS INTEGER) AS year,
                CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
@@ -465,6 +469,28 @@ SELECT order_id, item_number, product_id, quantity, {sk('order_id', 'item_number
        lead(version_date) OVER (PARTITION BY order_id, item_number ORDER BY version_date) IS NULL AS is_current
 FROM (SELECT * FROM item_versions
       QUALIFY row_number() OVER (PARTITION BY order_id, item_number, version_date ORDER BY {ITEM_ORDER}) = 1)""")
+q("snapshot_apply", ("item_versions",), f"""
+SELECT * FROM (WITH delivered AS (
+    SELECT * REPLACE (CASE WHEN (order_id + product_id) % 13 = 0 THEN NULL ELSE version_date END AS version_date),
+           version_date >= DATE '1998-01-01' AS is_second
+    FROM item_versions WHERE version_date IS NOT NULL),
+latest AS (
+    SELECT * FROM delivered
+    QUALIFY row_number() OVER (PARTITION BY is_second, order_id, item_number
+                               ORDER BY {ITEM_ORDER.replace("version_date DESC NULLS LAST", "version_date DESC NULLS FIRST", 1)}) = 1),
+a AS (SELECT * FROM latest WHERE NOT is_second),
+b AS (SELECT * FROM latest WHERE is_second),
+versions AS (
+    SELECT a.order_id, a.item_number, a.product_id, a.quantity, a.version_date,
+           CASE WHEN b.version_date > a.version_date THEN b.version_date END AS valid_to
+    FROM a LEFT JOIN b ON a.order_id = b.order_id AND a.item_number = b.item_number
+    UNION ALL
+    SELECT b.order_id, b.item_number, b.product_id, b.quantity, b.version_date, NULL
+    FROM b LEFT JOIN a ON a.order_id = b.order_id AND a.item_number = b.item_number
+    WHERE a.order_id IS NULL OR b.version_date > a.version_date)
+SELECT order_id, item_number, product_id, quantity, {sk('order_id', 'item_number', 'version_date')} AS scd_id,
+       version_date AS valid_from, valid_to, valid_to IS NULL AS is_current
+FROM versions)""")
 q("scd2_composite_key", ("product_history",), f"""
 SELECT scd_key, product_id, source_snapshot_date, stock_quantity, {sk('scd_key', 'source_snapshot_date')} AS scd_id,
        source_snapshot_date AS valid_from,
@@ -547,6 +573,16 @@ SELECT event_id,
 FROM (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || '-05:00' AS zoned,
              CAST(event_id % 1000 AS VARCHAR) || '.' || lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0') AS amount_text
       FROM events)""")
+q("percent_rate", (), """
+SELECT l_orderkey, l_linenumber, percent_text,
+       CAST(coalesce(TRY_CAST(nullif(trim(percent_text), '') AS DECIMAL(18,6)) * CAST(0.01 AS DECIMAL(3,2)), 0)
+            AS DECIMAL(18,8)) AS rate
+FROM (SELECT l_orderkey, l_linenumber,
+             CASE l_orderkey % 6 WHEN 0 THEN '  ' WHEN 1 THEN ' ' || pct || ' ' WHEN 2 THEN 'n/a' WHEN 3 THEN NULL
+                  ELSE pct END AS percent_text
+      FROM (SELECT l_orderkey, l_linenumber, CAST(l_partkey % 100 AS VARCHAR) || '.'
+                   || lpad(CAST((l_suppkey * 7919) % 1000000 AS VARCHAR), 6, '0') AS pct
+            FROM lineitem))""")
 q("order_window_days", ("headers",), """
 SELECT order_id,
        CASE WHEN order_date IS NOT NULL AND delivery_date IS NOT NULL AND delivery_date >= order_date

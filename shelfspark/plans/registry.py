@@ -19,7 +19,7 @@ from shelfspark.functions import metrics as M
 from shelfspark.functions.keys import surrogate_key
 from shelfspark.operators import checks as CH
 from shelfspark.operators.dedup import latest_per_key
-from shelfspark.operators.history import scd2_build
+from shelfspark.operators.history import scd2_apply, scd2_build
 from shelfspark.operators.incremental import after_high_watermark, merge_upsert, new_rows
 from shelfspark.operators.joins import flatten_items
 from shelfspark.plans import campaign as C
@@ -142,6 +142,21 @@ def q_scd2_history(spark, d):
                        "is_current")
 
 
+def q_snapshot_apply(spark, d):
+    """Two successive deliveries through the snapshot run; one row in thirteen is undated."""
+    v = mart(spark, d).item_versions
+    undated = (F.col("order_id") + F.col("product_id")) % 13 == 0
+    second = F.col("version_date") >= F.lit(_dt.date(1998, 1, 1))
+    dated = F.when(~undated, F.col("version_date"))
+    deliveries = [v.filter(part).withColumn("version_date", dated) for part in (~second, second)]
+    keys, order = ["order_id", "item_number"], [("version_date", True, True), *R.ITEM_VERSION_ORDER[1:]]
+    hist = None
+    for delivery in deliveries:
+        hist = scd2_apply(hist, delivery, keys, "version_date", order)
+    return hist.select("order_id", "item_number", "product_id", "quantity", "scd_id", "valid_from", "valid_to",
+                       "is_current")
+
+
 def q_scd2_composite_key(spark, d):
     h = mart(spark, d).history.withColumn(
         "scd_key", F.concat(F.col("product_id").cast("string"), F.lit("|"), F.col("source_snapshot_date").cast("string")))
@@ -251,6 +266,18 @@ def q_typed_parsing(spark, d):
                      S.parse_decimal(amount, 18, 2).alias("amount"))
 
 
+def q_percent_rate(spark, d):
+    """Percent text to a rate, over every item: padded, blank, junk and missing texts."""
+    li = mart(spark, d).t.lineitem
+    pct = F.concat((F.col("l_partkey") % 100).cast("string"), F.lit("."),
+                   F.lpad(((F.col("l_suppkey") * 7919) % 1000000).cast("string"), 6, "0"))
+    kind = F.col("l_orderkey") % 6
+    text = (F.when(kind == 0, F.lit("  ")).when(kind == 1, F.concat(F.lit(" "), pct, F.lit(" ")))
+             .when(kind == 2, F.lit("n/a")).when(kind == 3, F.lit(None)).otherwise(pct))
+    return (li.select("l_orderkey", "l_linenumber", text.alias("percent_text"))
+              .withColumn("rate", S.percent_to_rate("percent_text")))
+
+
 def q_order_window_days(spark, d):
     """M1: days from order to delivery when both are set and not reversed."""
     h = mart(spark, d).headers

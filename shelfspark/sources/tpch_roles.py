@@ -13,7 +13,7 @@ reproduces it bit for bit.
 | store                | nation + region, sales from orders                       |
 | supplier             | supplier                                                 |
 | customer             | customer                                                 |
-| campaign             | the five order priorities, windows from FIXTURE_CAMPAIGNS |
+| campaign             | order priorities, windows from each one's first order |
 """
 
 from __future__ import annotations
@@ -31,13 +31,14 @@ from shelfspark.operators.dedup import latest_per_key
 # FIXED VALUES for the test-data roles
 # ---------------------------------------------------------------------------
 
-# Campaigns: one per order priority (campaign_id, name, start, end, budget, demographics).
+# Campaigns: one per order priority (campaign_id, name, start in days after the priority's first order, length in days,
+# budget, demographics).
 FIXTURE_CAMPAIGNS = (
-    ("1-URGENT", "Spring Rush", "1995-02-01", "1995-04-30", "150000.00", '{"segment":"young_adults"}'),
-    ("2-HIGH", "Summer Saver", "1996-06-01", "1996-08-31", "90000.00", '{"segment":"families"}'),
-    ("3-MEDIUM", "Year of Value", "1998-01-01", "1998-12-31", "400000.00", '{"segment":"families"}'),
-    ("4-NOT SPECIFIED", "Flash Weeks", "2000-03-15", "2000-05-15", "0.00", '{"segment":"seniors"}'),
-    ("5-LOW", "Next Year Teaser", "2002-01-01", "2002-03-31", "50000.00", '{"segment":"seniors"}'),
+    ("1-URGENT", "Spring Rush", 31, 88, "150000.00", '{"segment":"young_adults"}'),
+    ("2-HIGH", "Summer Saver", 517, 91, "90000.00", '{"segment":"families"}'),
+    ("3-MEDIUM", "Year of Value", 1096, 364, "400000.00", '{"segment":"families"}'),
+    ("4-NOT SPECIFIED", "Flash Weeks", 1900, 61, "0.00", '{"segment":"seniors"}'),
+    ("5-LOW", "Next Year Teaser", 2557, 89, "50000.00", '{"segment":"seniors"}'),
 )
 
 # Calendar used by the facts built on the test data (the data spans 1995-2001).
@@ -237,12 +238,17 @@ def customers(t: Tables) -> DataFrame:
 
 
 def campaigns(t: Tables) -> DataFrame:
-    """Campaign role: the five order priorities with fixed windows and budgets."""
-    rows = [(cid, name, _dt.date.fromisoformat(s), _dt.date.fromisoformat(e), budget, demo)
-            for cid, name, s, e, budget, demo in FIXTURE_CAMPAIGNS]
-    df = t.spark.createDataFrame(
-        rows, "campaign_id string, campaign_name string, start_date date, end_date date, budget string, demographics string")
-    return df.withColumn("budget", F.col("budget").cast("decimal(18,2)"))
+    """Campaign role: the order priorities; each window starts a fixed time after the priority's first order."""
+    first = t.orders.groupBy(F.col("o_orderpriority").alias("campaign_id")).agg(
+        F.to_date(F.min("o_orderdate")).alias("_first"))
+    fixed = t.spark.createDataFrame(
+        list(FIXTURE_CAMPAIGNS),
+        "campaign_id string, campaign_name string, _start int, _days int, budget string, demographics string")
+    start = F.date_add("_first", F.col("_start"))
+    # the fixed side has one row per entry of FIXTURE_CAMPAIGNS
+    return first.join(F.broadcast(fixed), "campaign_id").select(
+        "campaign_id", "campaign_name", start.alias("start_date"), F.date_add(start, F.col("_days")).alias("end_date"),
+        F.col("budget").cast("decimal(18,2)").alias("budget"), "demographics")
 
 
 # ---------------------------------------------------------------------------
