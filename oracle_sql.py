@@ -681,6 +681,10 @@ SELECT product_id, store_id, inventory_date, sold_quantity, round(average_invent
        stock_turnover_ratio FROM inventory""")
 q("star_lookup", ("fact_inventory",), "SELECT * FROM fact_inventory")
 
+for _name, _table in (("dim_products", "dim_products"), ("dim_stores", "dim_stores"), ("dim_suppliers", "dim_suppliers"),
+                      ("dim_marketing_campaign", "dim_campaign")):
+    q(_name, (_table,), f"SELECT * FROM {_table}")
+
 # ---------------- campaign ----------------
 q("first_purchase", ("cph",), "SELECT customer_id, first_purchase_date FROM cph")
 q("first_repeat_flags", ("fact_sales",), """

@@ -542,6 +542,22 @@ def q_check_unique(spark, d):
     ])
 
 
+def q_dim_products(spark, d):
+    return mart(spark, d).dim_products
+
+
+def q_dim_stores(spark, d):
+    return mart(spark, d).dim_stores
+
+
+def q_dim_suppliers(spark, d):
+    return mart(spark, d).dim_suppliers
+
+
+def q_dim_marketing_campaign(spark, d):
+    return mart(spark, d).dim_campaign
+
+
 def q_check_relationships(spark, d):
     m = mart(spark, d)
     f = m.fact_inventory
