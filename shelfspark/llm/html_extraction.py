@@ -1,11 +1,13 @@
 """Main-text extraction by tag-path ratios.
 
-Each text node belongs to a root-to-leaf tag path (``html/body/article/p``).  For every path the corpus gives three
-sums: nodes, characters and punctuation marks.  A path's ratios are characters a node and punctuation a node; both are
-smoothed along the path (a path shares in the ratios of its container, so the heading of an article profits from its
+Each text node belongs to a root-to-leaf tag path (``html/body/article/p``).  For every path the corpus gives its nodes
+and the sums of the logarithms of their characters and punctuation marks.  A path's ratios are characters a node and
+punctuation a node, as geometric means, so that one node of any length moves them by its share of the nodes only; both
+are smoothed along the path (a path shares in the ratios of its container, so the heading of an article profits from its
 paragraphs), fused into their geometric mean, and paths at or above a threshold hold content.  The threshold is a share
-of the mean fused ratio of a corpus character, so it follows the data.  Paths through elements that never hold an
-article (menus, forms, scripts ...; FIXED VALUES below) get no score.
+of the median fused ratio of a character, every page weighing the same however long it is, so it follows the data and no
+single page.  Paths through elements that never hold an article (menus, forms, scripts ...; FIXED VALUES below) get no
+score.
 
 Aggregating over the corpus instead of one page keeps the one-word article of a site whose articles are long.
 
@@ -21,6 +23,7 @@ ignored.  A page without a content path has an empty text.
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -33,8 +36,14 @@ from pyspark.sql import types as T
 from .common import only, ship
 
 DEPTH = 24
-#: Share of the mean fused ratio that a path must reach, and weight of the container in the smoothing.
+#: Share of the median fused ratio that a path must reach, and weight of the container in the smoothing.
 THRESHOLD, SMOOTH = 0.3, 0.5
+#: Logarithms and page shares are summed as integers of this unit, so the sums don't depend on the order of the rows.
+UNIT = 1_000_000
+#: Steps of the logarithm of a fused ratio among which the median is taken.
+STEPS = 64
+#: Paths that a task sums up before it hands them on.
+HELD_PATHS = 100_000
 #: More selected paths than this are joined instead of broadcast.
 BROADCAST_PATHS = 20_000
 
@@ -155,26 +164,39 @@ def blocks(page: str | None) -> list[list[tuple[str, str]]]:
 
 
 def path_sums(pages: DataFrame) -> DataFrame:
-    """path, nodes, chars, marks over all pages; partial sums per task, so a hot path is one row a task."""
+    """path, nodes, log_chars, log_marks (sums over the nodes) and weight (shares of their pages' characters outside
+    elements that never hold an article) over all pages; partial sums per task, so a hot path is one row a task."""
     ship(pages.sparkSession)
+    names = ("nodes", "log_chars", "log_marks", "weight")
+
+    def made(sums: dict[str, list[int]]) -> pa.RecordBatch:
+        columns = [pa.array(list(sums), pa.string()), *(pa.array([s[k] for s in sums.values()], pa.int64()) for k in range(4))]
+        return pa.RecordBatch.from_arrays(columns, names=["path", *names])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
+        sums: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
         for batch in batches:
             for page in batch.column(0):
+                chars: dict[str, int] = defaultdict(int)
                 for block in blocks(page.as_py()):
                     for path, text in block:
                         if clean := text.strip():
                             s = sums[path]
                             s[0] += 1
-                            s[1] += len(clean)
-                            s[2] += len(_PUNCTUATION.findall(clean))
-        columns = [list(sums), *([s[k] for s in sums.values()] for k in range(3))]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["path", "nodes", "chars", "marks"])
-
-    found = pages.select("html").mapInArrow(count, "path string, nodes long, chars long, marks long")
-    return found.groupBy("path").agg(*[F.sum(c).alias(c) for c in ("nodes", "chars", "marks")])
+                            s[1] += round(UNIT * math.log1p(len(clean)))
+                            s[2] += round(UNIT * math.log1p(len(_PUNCTUATION.findall(clean))))
+                            chars[path] += len(clean)
+                live = {p: c for p, c in chars.items() if NEVER.isdisjoint(p.split("/"))}
+                total = sum(live.values())
+                for path, c in live.items():
+                    sums[path][3] += UNIT * c // total
+                if len(sums) > HELD_PATHS:
+                    yield made(sums)
+                    sums.clear()
+        yield made(sums)
+
+    found = pages.select("html").mapInArrow(count, "path string, " + ", ".join(f"{c} long" for c in names))
+    return found.groupBy("path").agg(*[F.sum(c).alias(c) for c in names])
 
 
 def content_paths(sums: DataFrame, threshold: float = THRESHOLD, smooth: float = SMOOTH) -> DataFrame:
@@ -185,17 +207,19 @@ def content_paths(sums: DataFrame, threshold: float = THRESHOLD, smooth: float =
     # the container: the nearest block that encloses the leaf block; inline steps don't count
     flat = F.filter(steps, lambda s: ~s.isin(*sorted(INLINE)))
     live = live.withColumn("box", F.array_join(F.slice(flat, 1, F.greatest(F.size(flat) - 1, F.lit(2))), "/"))
-    boxes = live.groupBy("box").agg(
-        (F.sum("chars") / F.sum("nodes")).alias("box_chars"), (F.sum("marks") / F.sum("nodes")).alias("box_marks")
-    )
+
+    def mean(logs: Column, nodes: Column) -> Column:
+        return F.expm1(logs / nodes / UNIT)
+
+    boxes = live.groupBy("box").agg(*[mean(F.sum(f"log_{c}"), F.sum("nodes")).alias(f"box_{c}") for c in ("chars", "marks")])
     both = live.join(boxes, "box")
 
-    def mixed(own: str, box: str) -> Column:
-        return (1 - smooth) * F.col(own) / F.col("nodes") + smooth * F.col(box)
+    def mixed(name: str) -> Column:
+        return (1 - smooth) * mean(F.col(f"log_{name}"), F.col("nodes")) + smooth * F.col(f"box_{name}")
 
-    fused = F.sqrt(mixed("chars", "box_chars") * (1 + mixed("marks", "box_marks")))
-    scored = both.withColumn("score", fused)
-    level = scored.agg((F.sum(F.col("score") * F.col("chars")) / F.sum("chars")).alias("level"))
+    scored = both.withColumn("score", F.sqrt(mixed("chars") * (1 + mixed("marks"))))
+    median = F.percentile(F.round(F.log("score") * STEPS).cast("int"), 0.5, F.greatest("weight", F.lit(1)))
+    level = scored.agg(F.exp(median / STEPS).alias("level"))
     return scored.join(F.broadcast(level), F.col("score") >= threshold * F.col("level")).select("path", "score")
 
 
