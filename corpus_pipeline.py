@@ -16,6 +16,10 @@ from shelfspark.llm.common import held_out, kept_rows, keyed, stored, table
 from shelfspark.llm.queries import POLICY, QUALITY_LEAST, RANKS
 
 
+#: The near-duplicate stage's shingle size and least Jaccard similarity in percent (op9_jaccard_join has its own).
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
 def quality_rule_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule policy keeps (operator 6)."""
     ledger = quality_rules.ledger(keyed(docs).select("row", "text"), id_col="row")
@@ -33,7 +37,7 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the Jaccard join (operator 9): that of the least id, of repeated ids one."""
     rows = keyed(docs)
-    linked = jaccard_join.join(rows.select("key", "text"), id_col="key")
+    linked = jaccard_join.join(rows.select("key", "text"), id_col="key", percent=NEAR_PERCENT, words=NEAR_WORDS)
     order = F.struct(F.col("row.doc_id").isNull().alias("no_id"), F.col("row.doc_id").alias("doc_id"), F.col("key").alias("key"))
     first = rows.select("key", order.alias("at")).join(linked.select("key", "component_id"), "key").groupBy("component_id").agg(F.min("at").alias("at"))
     return rows.join(first.select(F.col("at.key").alias("key")), "key", "left_semi").select("row.*")

@@ -1,6 +1,6 @@
 """N-gram Jaccard self-join with adaptive multi-match prefixes, and the components of its links.
 
-A document's set are the distinct hashes (64 bits) of its 4-word shingles.  Documents with equal sets are one *node*,
+A document's set are the distinct hashes (64 bits) of its shingles of ``words`` words (4 unless said otherwise).  Documents with equal sets are one *node*,
 named by a hash of the set, so a group of copies is one node however large it is.
 
 1. ``postings``: every node's shingles, dealt by shingle; a reducer sees all nodes of a shingle and so knows its exact
@@ -14,8 +14,8 @@ named by a hash of the set, so a group of copies is one node however large it is
    prefix shingles that pairs share, and verify pairs with min(k, k') or more by their exact overlap, unless the two are
    connected already.  Tasks return the links of a spanning forest, and the components of these are the result.
 
-Edge cases: null and empty texts and texts without words have n_shingles 0 and are linked with nothing; 1 to 3 words
-are one shingle; repeated rows and repeated ids each get a row; a null id takes its component's least id, null if there
+Edge cases: null and empty texts and texts without words have n_shingles 0 and are linked with nothing; fewer words
+than a shingle has are one shingle; repeated rows and repeated ids each get a row; a null id takes its component's least id, null if there
 is none; an empty table gives no rows; extra columns are ignored.  Ids are integers.
 """
 
@@ -54,14 +54,14 @@ class _Words(dict):
         return h
 
 
-def shingles(text: str | None, known: _Words) -> np.ndarray:
-    """Sorted distinct hashes of the runs of WORDS words of the text, A-Z lower-cased; fewer words are one run."""
-    words = text.encode().lower().split() if text else []
-    if not words:
+def shingles(text: str | None, known: _Words, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of the runs of ``words`` words of the text, A-Z lower-cased; fewer words are one run."""
+    found = text.encode().lower().split() if text else []
+    if not found:
         return np.empty(0, np.int64)
-    code = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    size = min(WORDS, len(words))
-    h = np.full(len(words) - size + 1, size, np.uint64)
+    code = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+    size = min(words, len(found))
+    h = np.full(len(found) - size + 1, size, np.uint64)
     for k in range(size):
         h = (h ^ code[k : k + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
@@ -72,13 +72,13 @@ def node_of(tokens: np.ndarray) -> int | None:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))) if len(tokens) else None
 
 
-def doc_nodes(docs: DataFrame) -> DataFrame:
+def doc_nodes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(id, text) -> id, node, n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for batch in batches:
-            sets = (shingles(t.as_py(), known) for t in batch.column(1))
+            sets = (shingles(t.as_py(), known, words) for t in batch.column(1))
             rows = [(node_of(s), len(s)) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["id", "node", "n"]
@@ -90,7 +90,7 @@ def doc_nodes(docs: DataFrame) -> DataFrame:
 _CHUNK = "bucket int, nodes binary, sizes binary, counts binary, tokens binary"
 
 
-def postings(docs: DataFrame, buckets: int) -> DataFrame:
+def postings(docs: DataFrame, buckets: int, words: int = WORDS) -> DataFrame:
     """Chunks of (node, size, shingles) runs, one row per bucket of shingles; a task names each node once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +115,7 @@ def postings(docs: DataFrame, buckets: int) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                s = shingles(text.as_py(), known)
+                s = shingles(text.as_py(), known, words)
                 if len(s) and (node := node_of(s)) not in seen:
                     seen.add(node)
                     held.append((node, s))
@@ -283,15 +283,17 @@ def verified(nodes: DataFrame, placed: DataFrame, block: int = BLOCK_NODES, perc
     return rows.groupBy("large", "c", "lo", "hi").applyInPandas(run, "a long, b long")
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, block: int = BLOCK_NODES) -> DataFrame:
+def join(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, block: int = BLOCK_NODES, words: int = WORDS
+) -> DataFrame:
     """id, n_shingles, component_id (the least id reachable by links) for every row."""
     src = only(docs, id_col, text_col).toDF("id", "text")
     spark = src.sparkSession
     ship(spark)
-    members = stored(doc_nodes(src), "members")
+    members = stored(doc_nodes(src, words), "members")
     entries = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // BUCKET_ENTRIES))
-    nodes = stored(prefixes(shared_tokens(postings(src, buckets), buckets), percent), "prefixes")
+    nodes = stored(prefixes(shared_tokens(postings(src, buckets, words), buckets), percent), "prefixes")
     roots = connected_components(verified(nodes, clusters(nodes), block, percent))
     least = members.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
     rooted = least.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
