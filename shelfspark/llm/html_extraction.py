@@ -12,8 +12,8 @@ score.
 Aggregating over the corpus instead of one page keeps the one-word article of a site whose articles are long.
 
 Labels: a path step is a tag name, with ``.name`` if a class, id or role has one of the known block names; unknown tags
-are ``x``, repeated steps count once and steps beyond DEPTH are left off, so the number of paths is bounded by the
-vocabulary, not by the corpus.
+are ``x``, repeated steps count once and steps beyond DEPTH are left off.  The paths may still grow with the corpus: up to
+BROADCAST_PATHS content paths are sent to the tasks, more are joined with the text nodes.
 
 Edge cases: null, empty and markup-free html (text outside any tag belongs to path ``html/body``); unclosed and
 misplaced tags; character references also without ``;``; repeated rows; an empty table gives no rows; extra columns are
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import only, ship
+from .common import only, ship, stored
 
 DEPTH = 24
 #: Share of the median fused ratio that a path must reach, and weight of the container in the smoothing.
@@ -227,15 +227,62 @@ def _join_block(nodes: list[tuple[str, str]], keep) -> str:
     return _SPACE.sub(" ", "".join(t for p, t in nodes if p in keep)).strip()
 
 
+_NODES = "nodes array<struct<block:int,place:int,text:string>>"
+
+
+def _joined(src: DataFrame, paths: DataFrame, schema: T.StructType) -> DataFrame:
+    """The texts by a join of the text nodes with the content paths.  The nodes of a page by path, and one row without a
+    path for the page itself, are written once, so that both sides of the last join know the page by the same number."""
+    names = schema.names[:-1]
+    at = len(names)
+    node = pa.list_(pa.struct([("block", pa.int32()), ("place", pa.int32()), ("text", pa.string())]))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            page_at, numbers, steps, nodes = [], [], [], []
+            for i, (page, number) in enumerate(zip(batch.column(at), batch.column(at + 1), strict=True)):
+                by_path: dict[str | None, list] = {None: []}
+                for b, block in enumerate(blocks(page.as_py())):
+                    for k, (path, text) in enumerate(block):
+                        if NEVER.isdisjoint(path.split("/")):
+                            by_path.setdefault(path, []).append((b, k, text))
+                page_at += [i, *[None] * (len(by_path) - 1)]
+                numbers += [number.as_py()] * len(by_path)
+                steps += by_path.keys()
+                nodes += by_path.values()
+            own = [batch.column(c).take(pa.array(page_at, pa.int64())) for c in range(at)]
+            made = [*own, pa.array(numbers, pa.int64()), pa.array(steps, pa.string()), pa.array(nodes, node)]
+            yield pa.RecordBatch.from_arrays(made, names=[*names, "row", "path", "nodes"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for nodes in batch.column(at):
+                parts: dict[int, list[str]] = defaultdict(list)
+                for n in nodes.as_py() or ():
+                    parts[n["block"]].append(n["text"])
+                made = (_SPACE.sub(" ", "".join(t)).strip() for t in parts.values())
+                texts.append("\n".join(t for t in made if t))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(texts, pa.string())], names=schema.names)
+
+    numbered = src.withColumn("row", F.monotonically_increasing_id())
+    spec = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields[:-1]), "row long, path string", _NODES])
+    parts = stored(numbered.mapInArrow(spread, spec), "page-parts")
+    kept = parts.where("path IS NOT NULL").join(paths, "path", "left_semi")
+    whole = kept.groupBy("row").agg(F.sort_array(F.flatten(F.collect_list("nodes"))).alias("nodes"))
+    pages = parts.where("path IS NULL").drop("path", "nodes").join(whole, "row", "left")
+    return pages.select(*names, "nodes").mapInArrow(read, schema)
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, ``keep`` columns and text (never null) of every page."""
     src = pages.select(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keep)], F.col(f"`{html_col}`").alias("html"))
-    paths = content_paths(path_sums(src))
-    found = [p for p, in paths.select("path").limit(BROADCAST_PATHS + 1).collect()]
+    paths = stored(content_paths(path_sums(src)).select("path"), "content-paths")
+    found = [p for p, in paths.limit(BROADCAST_PATHS + 1).collect()]
+    schema = T.StructType([*src.drop("html").schema.fields, T.StructField("text", T.StringType())])
     if len(found) > BROADCAST_PATHS:
-        raise ValueError(f"over {BROADCAST_PATHS} content paths: narrow the step labels")
+        return _joined(src, paths, schema).toDF(id_col, *keep, "text")
     sent = src.sparkSession.sparkContext.broadcast(frozenset(found))
-    schema = T.StructType([*src.drop("html").schema.fields, T.StructField("text", T.StringType())])
     at = len(keep) + 1
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

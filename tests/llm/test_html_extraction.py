@@ -29,3 +29,14 @@ def test_one_long_node_changes_no_other_page(spark, long):
     alone = extracted(spark, pages)
     assert all(t.startswith(f"Page {i}\nParagraph 0") and t.endswith("to its end.") for i, t in enumerate(alone))
     assert extracted(spark, [*pages, long]) == [*alone, LONG.strip()]
+
+
+def test_more_paths_than_are_sent(spark, monkeypatch):
+    pages = [*ordinary(12), None, "", "<nav>Menu</nav>", "<article><p>These words, and marks, are <b>bold, as one says; </b>and<br>these are <i>not so, one says</i>. So, it goes on.</p></article>"]
+    sent = extracted(spark, pages)
+    monkeypatch.setattr(html_extraction, "BROADCAST_PATHS", 1)
+    assert extracted(spark, pages) == sent
+    assert sent[0] and sent[-1].startswith("These words, and marks, are bold, as one says; and these are not so, one says.") and sent[12:15] == ["", "", ""]
+    rows = spark.createDataFrame([(1, "u", pages[0]), (1, "u", pages[0]), (None, None, pages[1])], "page_id long, url string, html string")
+    got = html_extraction.extract(rows, keep=("url",)).collect()
+    assert sorted((str(r.page_id), str(r.url), r.text) for r in got) == [("1", "u", sent[0])] * 2 + [("None", "None", sent[1])]
