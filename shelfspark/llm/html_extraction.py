@@ -11,8 +11,10 @@ score.
 
 Aggregating over the corpus instead of one page keeps the one-word article of a site whose articles are long.
 
-Labels: a path step is a tag name, with ``.name`` if a class, id or role has one of the known block names; unknown tags
-are ``x``, repeated steps count once and steps beyond DEPTH are left off.  The paths may still grow with the corpus: up to
+Labels: a path step is a tag name; unknown tags are ``x``.  An element that is hidden, or one of whose class names, id or
+role values is a known block name, is ``x.skip`` and holds no article, unless it is an article or main part or encloses
+one.  A block whose names only have such a word between hyphens keeps its tag name with ``.word``, and its ratios decide.
+Repeated steps count once and steps beyond DEPTH are left off.  The paths may still grow with the corpus: up to
 BROADCAST_PATHS content paths are sent to the tasks, more are joined with the text nodes.
 
 Edge cases: null, empty and markup-free html (text outside any tag belongs to path ``html/body``); unclosed and
@@ -69,29 +71,65 @@ SKIP_NAMES = frozenset(
     "newsletter notice pager pagination popup promo promoted related replies reply respond search share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.I)
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
+#: Elements and roles that the names of blocks never cut.
+MAIN = frozenset("article main".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PUNCTUATION = re.compile(r"[^\w\s]", re.U)
 _SPACE = re.compile(r"\s+")
 
 
-def _label(tag: str, attributes: str) -> str:
-    name = tag if tag in BLOCK or tag in INLINE else "x"
-    if attributes and name not in ("html", "body"):
-        words = (w for found in _NAMES.findall(attributes) for w in re.split(r"[\s_-]+", "".join(found).lower()))
-        if any(w in SKIP_NAMES for w in words) or HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", lambda m: m[0] if "display" in m[0] else '""', attributes)):
-            return "x.skip"
-    return name
+class _Element:
+    """An open tag: its step of the path, the step that it takes if it encloses a main part, and the element around it."""
+
+    __slots__ = ("tag", "label", "plain", "main", "encloses", "parent", "steps", "path")
+
+    def __init__(self, tag: str, attributes: str, parent: _Element | None):
+        self.tag, self.parent, self.encloses, self.steps, self.path = tag, parent, False, (), None
+        self.label = self.plain = name = tag if tag in BLOCK or tag in INLINE else "x"
+        self.main = tag in MAIN
+        if not attributes or name in ("html", "body"):
+            return
+        given: dict[str, str] = {}
+        for key, *values in _ATTRIBUTE.findall(attributes):
+            given.setdefault(key.lower(), "".join(values).lower())
+        roles = given.get("role", "").split()
+        self.main = self.main or not MAIN.isdisjoint(roles)
+        if given.get("hidden", "false") != "false" or given.get("aria-hidden", "").strip() == "true" or NOT_SHOWN.search(given.get("style", "")):
+            self.label = self.plain = "x.skip"
+        elif not self.main:
+            names = [*given.get("class", "").split(), given.get("id", "").strip(), *roles]
+            word = next((w for n in names for w in re.split(r"[\s_-]+", n) if w in SKIP_NAMES), None)
+            if word and tag in BLOCK:
+                self.label = self.plain = f"{name}.{word}"
+            if not SKIP_NAMES.isdisjoint(names):
+                self.label = "x.skip"
+
+
+def _path(element: _Element) -> str:
+    """The element's path; those of the elements around it are kept with them."""
+    todo = []
+    while element.path is None:
+        todo.append(element)
+        element = element.parent
+    for e in reversed(todo):
+        above = e.parent.steps
+        e.steps = above if e.label in ("html", "body", above[-1]) or len(above) == DEPTH else (*above, e.label)
+        e.path = "/".join(e.steps)
+        element = e
+    return element.path
 
 
 def blocks(page: str | None) -> list[list[tuple[str, str]]]:
     """The page's blocks in order; a block is its text nodes as (path, text), inline elements in place."""
-    out: list[list[tuple[str, str]]] = []
-    now: list[tuple[str, str]] = []
-    stack: list[tuple[str, str]] = []  # (tag, label)
-    path = ""
+    out: list[list[tuple[_Element, str]]] = []
+    now: list[tuple[_Element, str]] = []
+    top = _Element("html", "", None)
+    top.steps, top.path = ("html", "body"), "html/body"
+    stack: list[_Element] = []
+    inner = top
 
     def flush():
         nonlocal now
@@ -99,25 +137,19 @@ def blocks(page: str | None) -> list[list[tuple[str, str]]]:
             out.append(now)
         now = []
 
-    def renew():
-        nonlocal path
-        steps = [label for _, label in stack if label not in ("html", "body")]
-        steps = [s for i, s in enumerate(steps) if not i or s != steps[i - 1]]
-        path = "/".join(["html", "body", *steps][:DEPTH])
-
     def close(i: int):
-        if any(t in BLOCK for t, _ in stack[i:]):
+        nonlocal inner
+        if any(e.tag in BLOCK for e in stack[i:]):
             flush()
         del stack[i:]
-        renew()
+        inner = stack[-1] if stack else top
 
-    renew()
     text, at = page or "", 0
     while at < len(text):
         found = _TOKEN.match(text, at)
         token, at = found[0], found.end()
         if token[0] != "<" or token == "<":
-            now.append((path, entities.unescape(token)))
+            now.append((inner, entities.unescape(token)))
             continue
         if token[1:2] in "!?":
             continue
@@ -125,7 +157,7 @@ def blocks(page: str | None) -> list[list[tuple[str, str]]]:
         m = re.match(r"</?([a-zA-Z][^\s/>]*)", token)
         tag = m[1].lower()
         if end:
-            i = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
+            i = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag), None)
             if i is not None:
                 close(i)
             elif tag in BLOCK:
@@ -135,7 +167,7 @@ def blocks(page: str | None) -> list[list[tuple[str, str]]]:
             if tag == "hr":
                 flush()
             elif tag == "br":
-                now.append((path, " "))
+                now.append((inner, " "))
             continue
         attributes = token[m.end() : -1]
         if tag in RAW:
@@ -145,22 +177,27 @@ def blocks(page: str | None) -> list[list[tuple[str, str]]]:
             continue
         if tag in BLOCK:
             if tag not in ("html", "body"):
-                i = next((k for k, (t, _) in enumerate(stack) if t == "p"), None)
+                i = next((k for k, e in enumerate(stack) if e.tag == "p"), None)
                 if i is not None:
                     close(i)
             if tag in CLOSES:
                 for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in CLOSES[tag]:
+                    if stack[k].tag in CLOSES[tag]:
                         close(k)
                         break
-                    if stack[k][0] in ("ul", "ol", "dl", "table"):
+                    if stack[k].tag in ("ul", "ol", "dl", "table"):
                         break
             flush()
         if not attributes.endswith("/") or tag in BLOCK:
-            stack.append((tag, _label(tag, attributes)))
-            renew()
+            inner = _Element(tag, attributes, inner)
+            if inner.main:
+                for e in reversed(stack):
+                    if e.encloses:
+                        break
+                    e.encloses, e.label = True, e.plain
+            stack.append(inner)
     flush()
-    return out
+    return [[(_path(e), t) for e, t in block] for block in out]
 
 
 def path_sums(pages: DataFrame) -> DataFrame:

@@ -40,3 +40,29 @@ def test_more_paths_than_are_sent(spark, monkeypatch):
     rows = spark.createDataFrame([(1, "u", pages[0]), (1, "u", pages[0]), (None, None, pages[1])], "page_id long, url string, html string")
     got = html_extraction.extract(rows, keep=("url",)).collect()
     assert sorted((str(r.page_id), str(r.url), r.text) for r in got) == [("1", "u", sent[0])] * 2 + [("None", "None", sent[1])]
+
+
+WORDS = "".join(f"<p>Sentence {k} of the article, with some words, and marks. It goes on; and on, to its end.</p>" for k in range(4))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="content-sidebar-wrap"><main>{WORDS}</main></div>',
+        f'<div class="sidebar">Start <main>{WORDS}</main></div>',
+        f'<div id="comment"><div><div role="main">{WORDS}</div></div></div>',
+        f'<div id="main" class="no-sidebar">{WORDS}</div>',
+        f'<article class="post has-header">{WORDS}</article>',
+        f'<article class="related">{WORDS}</article>',
+        f'<div data-id="ad" data-class="sidebar" title="class=ad">{WORDS}</div>',
+        f'<div aria-hidden="false">{WORDS}</div>',
+        f'<div style="display:block; overflow:hidden">{WORDS}</div>',
+    ],
+)
+def test_names_do_not_cut_the_article(spark, page):
+    assert extracted(spark, [page])[0].count("Sentence") == 4
+
+
+@pytest.mark.parametrize("mark", ['class="post comment"', "class=sidebar", 'id="footer"', 'role="navigation"', 'aria-hidden="true"', "hidden", 'style="display: none"'])
+def test_marked_blocks_are_cut(spark, mark):
+    assert "Other" not in extracted(spark, [f"<div {mark}><p>Other words, and marks. They go on; and on.</p></div><article>{WORDS}</article>"])[0]
