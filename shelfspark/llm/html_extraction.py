@@ -14,7 +14,8 @@ Aggregating over the corpus instead of one page keeps the one-word article of a
 Labels: a path step is a tag name; unknown tags are ``x``.  An element that is hidden, or one of whose class names, id or
 role values is a known block name, is ``x.skip`` and holds no article, unless it is an article or main part or encloses
 one.  A block whose names only have such a word between hyphens keeps its tag name with ``.word``, and its ratios decide.
-Repeated steps count once and steps beyond DEPTH are left off.  The paths may still grow with the corpus: up to
+Repeated steps count once and steps beyond DEPTH are left off, but all that lies in an element that never
+holds an article, however deep, has the path ``x.skip``.  The paths may still grow with the corpus: up to
 BROADCAST_PATHS content paths are sent to the tasks, more are joined with the text nodes.
 
 Edge cases: null, empty and markup-free html (text outside any tag belongs to path ``html/body``); unclosed and
@@ -84,10 +85,10 @@ _SPACE = re.compile(r"\s+")
 class _Element:
     """An open tag: its step of the path, the step that it takes if it encloses a main part, and the element around it."""
 
-    __slots__ = ("tag", "label", "plain", "main", "encloses", "parent", "steps", "path")
+    __slots__ = ("tag", "label", "plain", "main", "encloses", "parent", "never", "steps", "path")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None):
-        self.tag, self.parent, self.encloses, self.steps, self.path = tag, parent, False, (), None
+        self.tag, self.parent, self.encloses, self.never, self.steps, self.path = tag, parent, False, False, (), None
         self.label = self.plain = name = tag if tag in BLOCK or tag in INLINE else "x"
         self.main = tag in MAIN
         if not attributes or name in ("html", "body"):
@@ -117,7 +118,8 @@ def _path(element: _Element) -> str:
     for e in reversed(todo):
         above = e.parent.steps
         e.steps = above if e.label in ("html", "body", above[-1]) or len(above) == DEPTH else (*above, e.label)
-        e.path = "/".join(e.steps)
+        e.never = e.parent.never or e.label in NEVER
+        e.path = "x.skip" if e.never else "/".join(e.steps)
         element = e
     return element.path
 

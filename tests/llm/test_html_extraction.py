@@ -66,3 +66,10 @@ def test_names_do_not_cut_the_article(spark, page):
 @pytest.mark.parametrize("mark", ['class="post comment"', "class=sidebar", 'id="footer"', 'role="navigation"', 'aria-hidden="true"', "hidden", 'style="display: none"'])
 def test_marked_blocks_are_cut(spark, mark):
     assert "Other" not in extracted(spark, [f"<div {mark}><p>Other words, and marks. They go on; and on.</p></div><article>{WORDS}</article>"])[0]
+
+
+@pytest.mark.parametrize("pile", ["<b><font>" * 30, "<table><tr><td>" * 12, "<i><section>" * 40], ids=["inline", "tables", "sections"])
+def test_what_never_holds_an_article_at_any_depth(spark, pile):
+    page = f"<div>{pile}{WORDS}<footer>All rights, reserved. Really; all.</footer><div class='ad'>Buy, now. Really; do.</div><p>End, at last.</p></div>"
+    got = extracted(spark, [page])[0]
+    assert got.count("Sentence") == 4 and "End, at last." in got and "rights" not in got and "Buy" not in got
