@@ -36,8 +36,8 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the Jaccard join (operator 9): that of the least id, of repeated ids one."""
-    rows = keyed(docs)
-    linked = jaccard_join.join(rows.select("key", "text"), id_col="key", percent=NEAR_PERCENT, words=NEAR_WORDS)
+    rows = stored(keyed(docs).drop("text"), "near-rows")
+    linked = jaccard_join.join(rows.select("key", "row.text"), id_col="key", percent=NEAR_PERCENT, words=NEAR_WORDS)
     order = F.struct(F.col("row.doc_id").isNull().alias("no_id"), F.col("row.doc_id").alias("doc_id"), F.col("key").alias("key"))
     first = rows.select("key", order.alias("at")).join(linked.select("key", "component_id"), "key").groupBy("component_id").agg(F.min("at").alias("at"))
     return rows.join(first.select(F.col("at.key").alias("key")), "key", "left_semi").select("row.*")
@@ -45,8 +45,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window (operator 1)."""
-    rows = keyed(docs)
-    found = decontamination.decontaminate(rows.select("key", "text"), table(spark, sf_dir, "benchmark"), id_col="key")
+    rows = stored(keyed(docs).drop("text"), "bench-rows")
+    found = decontamination.decontaminate(rows.select("key", "row.text"), table(spark, sf_dir, "benchmark"), id_col="key")
     hit = found.where("n_hit > 0").select(F.col("doc_id").alias("key"))
     return rows.join(hit, "key", "left_anti").select("row.*")
 

@@ -68,7 +68,8 @@ def kept_rows(df: DataFrame, condition: Column) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``key`` (long, unique), ``row`` (struct of all columns) and ``text``.  The key depends on the files that are read
-    alone, so several jobs over one written table agree; columns of the table can't clash with it."""
+    """``key`` (long, unique), ``row`` (struct of all columns) and ``text``; columns of the table can't clash with them.
+    The key depends on how the scan is split, which follows the cores of the moment: it holds within one job.  Where
+    several jobs use it, they must read the rows as ``stored`` once."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     return docs.select(F.monotonically_increasing_id().alias("key"), row.alias("row"), F.col("`text`").alias("text"))
