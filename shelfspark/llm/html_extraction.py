@@ -316,7 +316,8 @@ def _joined(src: DataFrame, paths: DataFrame, schema: T.StructType) -> DataFrame
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, ``keep`` columns and text (never null) of every page."""
     src = pages.select(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keep)], F.col(f"`{html_col}`").alias("html"))
-    paths = stored(content_paths(path_sums(src)).select("path"), "content-paths")
+    sums = stored(path_sums(src), "path-sums")  # read twice, with other columns each time
+    paths = stored(content_paths(sums).select("path"), "content-paths")
     found = [p for p, in paths.limit(BROADCAST_PATHS + 1).collect()]
     schema = T.StructType([*src.drop("html").schema.fields, T.StructField("text", T.StringType())])
     if len(found) > BROADCAST_PATHS:
