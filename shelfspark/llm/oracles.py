@@ -133,7 +133,30 @@ SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(b) FROM rea
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id
 """
 
+OP12 = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), u AS (
+  SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (
+  SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
 ORACLE_SQL = {
+    "op12_fill_in_middle": OP12,
     "op9_jaccard_join": OP9,
     "op1_decontamination": OP1,
     "op6_quality_rules": OP6,

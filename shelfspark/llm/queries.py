@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, html_extraction, jaccard_join, language_id, oracles, quality_rules, rule_ensemble, sharding, token_counts, url_rules
+from . import bpe, decontamination, fill_in_middle, html_extraction, jaccard_join, language_id, oracles, quality_rules, rule_ensemble, sharding, token_counts, token_files, url_rules, whitening
 from .common import held_out, table
 
 POLICY = "v2"
 QUALITY_LEAST = 0.7
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
+WORD_BPE, END_ID = "word_bpe_49k.json", 2
 SHARDS = 16
 SHARD_SEED = 20240917
 
@@ -91,11 +92,31 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "confidence")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    again = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(again.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, index = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), END_ID)
+    back = token_files.read(folder, index, ids=False)
+    return back.select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_language_id, op3_token_counts, op4_html_extraction, op5_quality_classifier, op6_quality_rules,
-        op7_sharding, op8_byte_bpe, op9_jaccard_join, op10_url_filters,
+        op7_sharding, op8_byte_bpe, op9_jaccard_join, op10_url_filters, op11_embedding_whitening, op12_fill_in_middle, op13_token_files,
     )
 }
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
