@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +54,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def rest() -> None:
+    """Give freed memory back to the system; a task calls it at its end, as its worker may stay idle for long."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the documents that no classifier may learn from: crc32(doc_id as text) mod 4 is 2.
     A null id is never learned from either."""

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, ship, stored
+from .common import only, rest, ship, stored
 from .components import connected_components
 
 WORDS = 4
@@ -39,16 +39,20 @@ PERCENT = 85
 VERIFY_COST = 20
 #: Nodes of a task: clusters up to this size stay whole, larger ones are dealt in pairs of blocks of this size.
 BLOCK_NODES = 2000
-BUFFER = 1 << 21
-#: Entries (node, shingle) of a bucket on average: the number of buckets grows with the corpus, so a group stays small.
-BUCKET_ENTRIES = 1 << 22
+#: Entries (node, shingle) that a task holds before it sends them on, and that it sorts at once.
+BUFFER = 1 << 18
+#: Entries of a bucket on average: the number of buckets grows with the corpus, so a group stays small.  Smaller buckets
+#: would cut documents into so many runs that naming the node of each costs more than the entries.
+BUCKET_ENTRIES = 1 << 21
+#: Words whose hash a task keeps.
+KNOWN_WORDS = 200_000
 
 
 class _Words(dict):
     """Hash of each word; emptied when large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > KNOWN_WORDS:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -125,41 +129,72 @@ def postings(docs: DataFrame, buckets: int, words: int = WORDS) -> DataFrame:
                         held, size = [], 0
         if held:
             yield flush()
+        del known, seen, held
+        rest()
 
     return docs.select("text").mapInArrow(run, _CHUNK)
 
 
-def _open(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """node, size and shingle of every entry."""
-    counts = np.frombuffer(b"".join(pdf["counts"]), np.int32)
-    node = np.repeat(np.frombuffer(b"".join(pdf["nodes"]), np.int64), counts)
-    n = np.repeat(np.frombuffer(b"".join(pdf["sizes"]), np.int32), counts)
-    return node, n, np.frombuffer(b"".join(pdf["tokens"]), np.int64)
+def _joined(batches: Iterator[pa.RecordBatch], **kinds: type) -> list[np.ndarray]:
+    """The numbers of each binary column, those of all rows after one another."""
+    parts: list[list[np.ndarray]] = [[] for _ in kinds]
+    for batch in batches:
+        for have, (name, kind) in zip(parts, kinds.items(), strict=True):
+            column = batch.column(name)
+            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+            octets = np.frombuffer(column.buffers()[2], np.uint8) if len(column) and ends[-1] else np.empty(0, np.uint8)
+            have.append(octets[ends[0] : ends[-1]].copy().view(kind))
+    return [np.concatenate(have) if len(have) != 1 else have[0] for have in parts]
+
+
+def _shares(numbers: np.ndarray) -> Iterator[np.ndarray]:
+    """Where the numbers (hashes) of each share are; equal ones are in the same, of about BUFFER entries."""
+    count = 1 << (len(numbers) // BUFFER).bit_length()
+    share = (numbers >> 40 & count - 1).astype(np.int32)
+    for s in range(count):
+        yield np.flatnonzero(share == s)
+
+
+def _cuts(sorted_numbers: np.ndarray) -> np.ndarray:
+    """Where a new number begins."""
+    return np.flatnonzero(np.concatenate([[True], sorted_numbers[1:] != sorted_numbers[:-1]]))
 
 
 def shared_tokens(chunks: DataFrame, buckets: int) -> DataFrame:
     """Per bucket of nodes: the entries whose shingle another node has too, with its document frequency."""
+    schema = "bucket int, nodes binary, sizes binary, dfs binary, tokens binary"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        node, n, token = _open(pdf)
-        order = np.lexsort((node, token))
-        node, n, token = node[order], n[order], token[order]
-        fresh = np.ones(len(token), bool)  # the same node may come from several tasks
-        fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-        node, n, token = node[fresh], n[fresh], token[fresh]
-        _, at, df = np.unique(token, return_inverse=True, return_counts=True)
-        df = df[at]
-        keep = df > 1
-        node, n, token, df = node[keep], n[keep], token[keep], df[keep].astype(np.int32)
-        to = (node.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        rows = []
-        for part in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
-            if len(part):
-                rows.append((int(to[part[0]]), node[part].tobytes(), n[part].tobytes(), df[part].tobytes(), token[part].tobytes()))
-        return pd.DataFrame(rows, columns=["bucket", "nodes", "sizes", "dfs", "tokens"])
-
-    return chunks.groupBy("bucket").applyInPandas(run, "bucket int, nodes binary, sizes binary, dfs binary, tokens binary")
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, sizes, counts, tokens = _joined(batches, nodes=np.int64, sizes=np.int32, counts=np.int32, tokens=np.int64)
+        owner = np.repeat(np.arange(len(nodes), dtype=np.int32), counts)
+        for at in _shares(tokens):
+            if not len(at):
+                continue
+            token, mine = tokens[at], owner[at]
+            order = np.lexsort((nodes[mine], token))
+            token, mine = token[order], mine[order]
+            node = nodes[mine]
+            fresh = np.ones(len(token), bool)  # the same node may come from several tasks
+            fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+            token, mine, node = token[fresh], mine[fresh], node[fresh]
+            df = np.diff(_cuts(token), append=len(token)).astype(np.int32)
+            df = np.repeat(df, df)
+            kept = np.flatnonzero(df > 1)
+            to = (node[kept].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(to, kind="stable")
+            kept, to = kept[order], to[order]
+            if len(kept):
+                rows = [
+                    (int(to[a]), node[p].tobytes(), sizes[mine[p]].tobytes(), df[p].tobytes(), token[p].tobytes())
+                    for a, p in zip(_cuts(to), np.split(kept, _cuts(to)[1:]), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), *[pa.binary()] * 4], strict=True)],
+                    names=["bucket", "nodes", "sizes", "dfs", "tokens"],
+                )
+        rest()
+
+    return chunks.groupBy("bucket").applyInArrow(run, schema)
 
 
 def choose_matches(df: np.ndarray, n: int, base: int, overlap: int) -> int:
@@ -183,24 +218,30 @@ def prefixes(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
     """node, n, k, base (list of shingles of the shortest prefix), reach (shingles in the chosen prefix), tokens (all
     shared shingles, in order); only nodes that can have a link."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        node, n, df, token = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("nodes", np.int64), ("sizes", np.int32), ("dfs", np.int32), ("tokens", np.int64)))
-        order = np.lexsort((token, df, node))
-        node, n, df, token = node[order], n[order], df[order], token[order]
-        rows = []
-        for part in np.split(np.arange(len(node)), np.flatnonzero(np.diff(node)) + 1):
-            if not len(part):
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, sizes, dfs, tokens = _joined(batches, nodes=np.int64, sizes=np.int32, dfs=np.int32, tokens=np.int64)
+        for at in _shares(nodes):
+            if not len(at):
                 continue
-            size, own = int(n[part[0]]), len(part)
-            overlap = -(-percent * size // 100)
-            alone = size - own  # shingles that no other node has come first in the order
-            base = size - overlap + 1 - alone
-            if base > 0:
-                k = choose_matches(df[part], size, base, overlap)
-                rows.append((int(node[part[0]]), size, k, token[part[:base]].tolist(), min(own, base + k - 1), token[part].tobytes()))
-        return pd.DataFrame(rows, columns=["node", "n", "k", "base", "reach", "tokens"])
-
-    return shared.groupBy("bucket").applyInPandas(run, "node long, n int, k int, base array<long>, reach int, tokens binary")
+            at = at[np.lexsort((tokens[at], dfs[at], nodes[at]))]
+            node, df, token = nodes[at], dfs[at], tokens[at]
+            rows, starts = [], _cuts(node)
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=True):
+                size, own = int(sizes[at[a]]), b - a
+                overlap = -(-percent * size // 100)
+                alone = size - own  # shingles that no other node has come first in the order
+                base = size - overlap + 1 - alone
+                if base > 0:
+                    k = choose_matches(df[a:b], size, base, overlap)
+                    rows.append((int(node[a]), size, k, token[a : a + base].tolist(), min(own, base + k - 1), token[a:b].tobytes()))
+            if rows:
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["node", "n", "k", "base", "reach", "tokens"]
+                )
+        rest()
+
+    return shared.groupBy("bucket").applyInArrow(run, "node long, n int, k int, base array<long>, reach int, tokens binary")
 
 
 def clusters(nodes: DataFrame) -> DataFrame:
