@@ -16,19 +16,24 @@ gives no rows; extra columns are ignored; a piece of any length takes time linea
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import only, ship
+from .common import only, rest, ship
 
-#: Pieces kept per worker; the cache is emptied when full, which costs time and changes nothing.
-CACHE_PIECES, CACHE_BYTES = 400_000, 64
+#: Bytes that the caches of pieces and of pairs may take in a worker, about 200 an entry; each is emptied when full, the
+#: pieces also when their task ends, which costs time and changes nothing.
+PIECES_BYTES, PAIRS_BYTES, ENTRY_BYTES = 64 << 20, 48 << 20, 200
+#: Characters of texts whose new pieces are encoded together.
+RUN_CHARS = 1 << 20
 _NONE = 1 << 40
 
 
@@ -40,9 +45,15 @@ class Vocabulary:
         self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
         self.bytes = {i: b for b, i in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
-        self._stable: dict[tuple[int, int], bool] = {}
+        self._stable: dict[int, bool] = {}
         self._parts: dict[int, tuple[int, int] | None] = {}
         self._edges: dict[tuple[int, int], list[tuple[int, bytes]] | None] = {}
+        # finds, for every byte, the tokens that end there, the longest first; tokens that merging never makes stay out
+        self.automaton = ahocorasick.Automaton()
+        for b, t in self.ranks.items():
+            if self.reached(t):
+                self.automaton.add_word(b.decode("latin-1"), (len(b), t))
+        self.automaton.make_automaton()
 
     def merge(self, data: bytes, until: int = 1) -> list[int]:
         """Plain BPE for short strings: join the neighbours of lowest rank, leftmost first, down to ``until`` parts."""
@@ -88,11 +99,12 @@ class Vocabulary:
         return self._edges[key]
 
     def stable(self, left: int, right: int) -> bool:
-        found = self._stable.get((left, right))
+        key = left << 32 | right
+        found = self._stable.get(key)
         if found is None:
-            if len(self._stable) > 1_000_000:
+            if len(self._stable) * ENTRY_BYTES > PAIRS_BYTES:
                 self._stable.clear()
-            found = self._stable[left, right] = self._is_stable(left, right)
+            found = self._stable[key] = self._is_stable(left, right)
         return found
 
     def _is_stable(self, left: int, right: int) -> bool:
@@ -123,43 +135,61 @@ class Prefixes:
         self.v, self.data, self.last = vocabulary, b"", [-1]
         self.append(data)
 
-    def _step(self, i: int) -> int:
-        """The last token of the prefix of i bytes."""
-        v, data, last = self.v, self.data, self.last
-        rank, known = v.ranks.get, v._stable.get
-        for j in range(max(0, i - v.longest), i):
-            t = rank(data[j:i])
-            if t is None:
+    def _fill(self, first: int, old: list[int] | None = None, shift: int = 0, edited: int = 0) -> int:
+        """Add the last tokens of the prefixes of more than ``first`` bytes; returns how many bytes have theirs.  With an
+        ``old`` table, ``shift`` entries off, it stops as soon as that says the same for all that follows."""
+        last, longest, known, stable = self.last, self.v.longest, self.v._stable.get, self.v.stable
+        at = max(0, first + 1 - longest)
+        upto, same = first, 0
+        for end, (size, t) in self.v.automaton.iter(self.data[at:].decode("latin-1")):
+            end += at + 1
+            if end <= upto:
                 continue
-            if j:
-                fits = known((last[j], t))
-                if fits or (fits is None and v.reached(t) and v.stable(last[j], t)):
-                    return t
-            elif v.reached(t):
-                return t
-        raise ValueError("the vocabulary lacks a byte")
+            if end > upto + 1:
+                break
+            left = last[end - size]  # -1 for the empty prefix
+            if left >= 0:
+                fits = known(left << 32 | t)
+                if fits is None:
+                    fits = stable(left, t)
+                if not fits:
+                    continue
+            upto = end
+            last.append(t)
+            if old is not None:
+                # entries depend on the last `longest` bytes and entries: once so many agree, all later ones do
+                same = same + 1 if end > edited and old[end - shift] == t else 0
+                if same >= longest:
+                    return upto
+        if upto < len(self.data):
+            raise ValueError("the vocabulary lacks a byte")
+        return upto
 
     def append(self, more: bytes) -> Prefixes:
-        first = len(self.data) + 1
+        first = len(self.data)
         self.data += more
-        for i in range(first, len(self.data) + 1):
-            self.last.append(self._step(i))
+        self._fill(first)
         return self
 
+    def become(self, data: bytes) -> Prefixes:
+        """Another byte string; the entries of what both begin with are kept."""
+        same = 0
+        for a, b in zip(self.data, data, strict=False):
+            if a != b:
+                break
+            same += 1
+        del self.last[same + 1 :]
+        self.data = data[:same]
+        return self.append(data[same:])
+
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Replace data[start:end]; returns how many entries were computed anew."""
         old, shift = self.last, len(new) - (end - start)
         self.data = self.data[:start] + new + self.data[end:]
-        self.last, same = old[: start + 1], 0
-        for i in range(start + 1, len(self.data) + 1):
-            t = self._step(i)
-            self.last.append(t)
-            # entries depend on the last `longest` bytes and entries: once so many agree, all later ones do
-            same = same + 1 if i > start + len(new) and old[i - shift] == t else 0
-            if same >= self.v.longest:
-                self.last += old[i - shift + 1 :]
-                return i - start
-        return len(self.data) - start
+        self.last = old[: start + 1]
+        upto = self._fill(start, old, shift, start + len(new))
+        self.last += old[upto - shift + 1 :]
+        return upto - start
 
     def ids(self) -> list[int]:
         out, i = [], len(self.data)
@@ -169,28 +199,44 @@ class Prefixes:
         return out[::-1]
 
 
-class Encoder:
+class Encoder(dict):
+    """Little-endian unsigned 32-bit ids of texts; as a mapping, the cached ids of pieces."""
+
     def __init__(self, data: bytes, pattern: str):
+        super().__init__()
         self.v, self.split = Vocabulary(data), regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
-
-    def piece(self, piece: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of one piece."""
-        raw = piece.encode()
-        whole = self.v.ranks.get(raw)
-        ids = [whole] if whole is not None else Prefixes(self.v, raw).ids()
-        packed = np.array(ids, "<u4").tobytes()
-        if len(raw) <= CACHE_BYTES:
-            if len(self.known) >= CACHE_PIECES:
-                self.known.clear()
-            self.known[piece] = packed
-        return packed
+        self.used = 0
+
+    def learn(self, pieces: list[str]) -> None:
+        """Cache the ids of new pieces, in order, so that one's table goes on where it parts from the last one's."""
+        table, rank = Prefixes(self.v), self.v.ranks.get
+        for piece in sorted(pieces):
+            raw = piece.encode()
+            whole = rank(raw)
+            ids = [whole] if whole is not None else table.become(raw).ids()
+            self[piece] = packed = struct.pack(f"<{len(ids)}I", *ids)
+            self.used += ENTRY_BYTES + len(raw) + len(packed)
+
+    def forget(self) -> None:
+        self.clear()
+        self.used = 0
 
     def encode(self, text: str | None) -> bytes:
-        get, out = self.known.get, []
-        for p in self.split(text or ""):
-            out.append(get(p) or self.piece(p))
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; new pieces are gathered over runs of texts of about RUN_CHARS."""
+        out, run, size = [], [], 0
+        for i, text in enumerate(texts):
+            run.append(self.split(text) if text else [])
+            size += len(text or "")
+            if size >= RUN_CHARS or i + 1 == len(texts):
+                self.learn([p for p in set().union(*run) if p not in self])
+                out += [b"".join(map(self.__getitem__, pieces)) for pieces in run]
+                run, size = [], 0
+                if self.used > PIECES_BYTES:
+                    self.forget()
+        return out
 
     def decode(self, packed: bytes | None) -> bytes:
         table = self.v.bytes
@@ -199,7 +245,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(data: bytes, pattern: str) -> Encoder:
-    """One encoder per worker process, so that its caches last over tasks."""
+    """One encoder per worker process, so that the vocabulary is read once."""
     return Encoder(data, pattern)
 
 
@@ -219,10 +265,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(sent.value, pattern)
-        for batch in batches:
-            for part in _parts(batch):
-                ids = [e.encode(t.as_py()) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=schema.names)
+        try:
+            for batch in batches:
+                for part in _parts(batch):
+                    ids = e.encode_all(part.column(1).to_pylist())
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=schema.names)
+        finally:  # an idle worker keeps the vocabulary and the pairs alone
+            e.forget()
+            rest()
 
     return src.mapInArrow(run, schema)
 
