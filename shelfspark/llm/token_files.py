@@ -149,34 +149,37 @@ class Reader:
             start, count = start + len(run), count - len(run)
 
 
-#: Letters that every version of Unicode calls so and that never combine with what follows them here, and
-#: signs that the tokenizer's pattern never joins to a letter before them.
-_LETTERS, _SIGNS = "a-zA-ZÀ-ÖØ-öø-ɏ", ".,;:!?"
-#: Chunks are cached up to so many bytes in a worker (an entry takes about 200 besides); emptied when full, which changes
-#: nothing.  Long texts are encoded in slices of about so many characters.
+#: Letters that every version of Unicode calls so and that never combine with each other, and the ASCII
+#: signs without the apostrophe (which may begin a token of letters) and ``<`` (which may begin a special token).
+_LETTERS, _SIGNS = "a-zA-ZÀ-ÖØ-öø-ɏ", r"!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~"
+#: Chunks are cached in two generations of up to so many bytes each in a worker (an entry takes about 200 besides): the
+#: elder one goes when the younger is full, and what is met again in it moves to the younger; results never change.
+#: Long texts are encoded in slices of about so many characters.
 CACHE_BYTES, ENTRY_BYTES, SLICE_CHARS = 128 << 20, 200, 1 << 20
 
 
 class Encoder(dict):
     """Ids of texts, as the tokenizer gives them, by chunks between spaces; as a mapping, the cached chunks.
 
-    The tokenizer drops white space and its tokens never cross it, nor the border between letters and a following sign
-    that is no apostrophe.  So each chunk, and each of the two parts of a word with signs behind it, has ids of its own.
-    A word of plain letters goes to the tokenizer's model as the characters that its normalizer and pre-tokenizer make
-    of each letter; all else goes through the tokenizer as a whole.  ``check`` says whether a tokenizer is one of these;
-    texts of all others are encoded whole."""
+    The tokenizer drops white space and its tokens never cross it.  A chunk of plain letters, digits and signs falls
+    into runs of letters, single digits and runs of signs, each with ids of its own.  A run of letters goes to the
+    tokenizer's model as the characters that its normalizer and pre-tokenizer make of each letter; all else goes through
+    the tokenizer as a whole.  ``check`` says whether a tokenizer is one of these; texts of all others are encoded whole."""
 
     def __init__(self, data: bytes):
         super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_buffer(data)
         self.size = max(self.tokenizer.get_vocab().values(), default=0) + 1
-        self.used = 0
+        self.used, self.elder = 0, {}
         self.model = self.tokenizer.model
         shown = {c: self._shown(c) for c in re.findall(f"[{_LETTERS}]", "".join(map(chr, range(0x250))))}
         self.letters = {ord(c): s for c, s in shown.items() if s is not None}
         letters = "".join(map(chr, self.letters))
-        self.word = re.compile(f"([{letters}]+)([{_SIGNS}]*)" if letters else "(?!)").fullmatch
-        self.by_chunk = self.check(letters)
+        self.by_chunk = bool(letters)
+        if letters:
+            self.word, self.plain = re.compile(f"[{letters}]+").fullmatch, re.compile(f"[{letters}0-9{_SIGNS}]+").fullmatch
+            self.runs = re.compile(f"[{letters}]+|[0-9]|[{_SIGNS}]+").findall
+            self.by_chunk = self.check(letters)
 
     def _shown(self, letter: str) -> str | None:
         """What the model is given for a letter."""
@@ -190,8 +193,9 @@ class Encoder(dict):
 
     def check(self, letters: str) -> bool:
         words = [letters[i : i + 7] for i in range(len(letters) - 6)]
-        sample = "Ab, c'd é;\n e.f  g"
-        parts = [p for p in re.split("[ \n]|(?=[,;])", sample) if p]
+        signs = "".join(c for c in map(chr, range(33, 127)) if self.plain(c) and not c.isalnum())
+        sample = f"Ab, c'd é;\n 12e.f3-4  g {' '.join(f'a{s}b{s}1{s}{s}2' for s in signs)} x{signs}y7 {signs[::-1]}"
+        parts = [p for chunk in re.split("[ \n]+", sample) for p in (self.runs(chunk) if self.plain(chunk) else [chunk])]
         return (
             [self._model(w) for w in words] == self._ids(words)
             and self._ids([sample])[0] == b"".join(self._ids(parts))
@@ -206,13 +210,14 @@ class Encoder(dict):
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, chunk: str) -> bytes:
-        found = self.word(chunk)
-        if not found:
-            ids = self._ids([chunk])[0]
-        elif signs := found[2]:
-            ids = self[found[1]] + self[signs]
-        else:
-            ids = self._model(chunk)
+        ids = self.elder.get(chunk)
+        if ids is None:
+            if self.word(chunk):
+                ids = self._model(chunk)
+            elif self.plain(chunk) and len(runs := self.runs(chunk)) > 1:
+                ids = b"".join([self[r] for r in runs])
+            else:
+                ids = self._ids([chunk])[0]
         self[chunk] = ids
         self.used += ENTRY_BYTES + len(chunk) + len(ids)
         return ids
@@ -242,8 +247,9 @@ class Encoder(dict):
         return out
 
     def forget(self) -> None:
+        self.elder, self.used = dict(self), 0
         self.clear()
-        self[""], self.used = b"", 0
+        self[""] = b""
 
 
 @lru_cache(maxsize=1)
