@@ -444,6 +444,22 @@ WHERE order_date < {lit_date(REG.MERGE_TARGET_BEFORE)}
   AND order_id NOT IN (SELECT order_id FROM headers WHERE order_date >= {lit_date(REG.MERGE_INCOMING_FROM)})
 UNION ALL
 SELECT order_id, order_status, 'v2' AS version FROM headers WHERE order_date >= {lit_date(REG.MERGE_INCOMING_FROM)}""")
+q("logged_anti_join", ("bronze",), f"""
+SELECT s.order_id, s._source_file FROM bronze s
+WHERE NOT EXISTS (SELECT 1 FROM bronze t
+                  WHERE TRY_CAST(regexp_extract(t._source_file, '{config.FILE_DATE_PATTERN}') AS DATE)
+                        < {lit_date(REG.INCREMENT_TARGET_BEFORE)} AND t.order_id NOT LIKE '%7'
+                    AND t.order_id = s.order_id AND t._source_file = s._source_file)""")
+q("partitioned_merge", ("headers",), f"""
+SELECT * FROM (WITH inc AS (SELECT order_id, order_date, order_status FROM headers
+             WHERE order_date >= {lit_date(REG.MERGE_INCOMING_FROM)} AND order_id NOT LIKE '%3'),
+all_rows AS (
+  SELECT order_id, order_date, 'Pending' AS order_status, 'v1' AS version FROM headers
+  WHERE order_date < {lit_date(REG.MERGE_TARGET_BEFORE)} AND order_id NOT IN (SELECT order_id FROM inc)
+  UNION ALL SELECT order_id, order_date, order_status, 'v2' FROM inc)
+SELECT *, CAST(CASE WHEN strftime(order_date, '%Y-%m') IN (SELECT strftime(order_date, '%Y-%m') FROM inc) THEN 2 ELSE 1 END AS INTEGER)
+            AS load_no
+FROM all_rows)""")
 q("high_watermark_filter", ("product_history",), f"""
 SELECT product_id, source_snapshot_date, stock_quantity FROM product_history
 WHERE source_snapshot_date > (SELECT coalesce(max(source_snapshot_date), DATE '1900-01-01') FROM product_history

@@ -8,6 +8,7 @@ Money is decimal(18,2), counts bigint, ratios DOUBLE rounded to 6 places.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +23,19 @@ from shelfspark.operators.dedup import latest_per_key
 from shelfspark.operators.history import scd2_apply, scd2_build
 from shelfspark.operators.incremental import after_high_watermark, merge_upsert, new_rows
 from shelfspark.operators.joins import flatten_items
+from shelfspark.operators.load_log import log_entries, new_rows_logged
 from shelfspark.plans import campaign as C
 from shelfspark.plans import gold as G
 from shelfspark.plans import inventory as I
 from shelfspark.plans import orders as O
 from shelfspark.plans import reports as RP
 from shelfspark.plans.mart import Mart
+from shelfspark.session import ensure_checkpoint_dir
 from shelfspark.sources import tpch_roles as R
 from shelfspark.sources.freshness import freshness
 from shelfspark.sources.landing import to_bronze
+from shelfspark.sources.partitioned import PartitionedTable
+from shelfspark.sources.sinks import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +117,30 @@ def q_merge_upsert(spark, d):
     return merge_upsert(target, incoming, ["order_id"])
 
 
+def q_logged_anti_join(spark, d):
+    """The anti join by the log of loaded files; every tenth order or so of the loaded files is not in the target."""
+    b = cut_lineage(bronze(spark, d))
+    held = b.filter((S.file_date("_source_file") < F.lit(INCREMENT_TARGET_BEFORE)) & ~F.col("order_id").endswith("7"))
+    keys = ["order_id", "_source_file"]
+    log = log_entries(held, keys, "_source_file", "first")
+    return new_rows_logged(b, log, lambda loads: held, keys, "_source_file").select(*keys)
+
+
+def q_partitioned_merge(spark, d):
+    """The merge on a table partitioned by month; ``load_no`` 1: the row's file is that of the first load."""
+    h = mart(spark, d).headers
+    month = F.date_format("order_date", "yyyy-MM")
+    first = (h.filter(F.col("order_date") < F.lit(MERGE_TARGET_BEFORE))
+              .select("order_id", "order_date", F.lit("Pending").alias("order_status"), F.lit("v1").alias("version")))
+    incoming = (h.filter((F.col("order_date") >= F.lit(MERGE_INCOMING_FROM)) & ~F.col("order_id").endswith("3"))
+                 .select("order_id", "order_date", "order_status", F.lit("v2").alias("version")))
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/partitioned-merge-{uuid.uuid4().hex}"
+    one = PartitionedTable(spark, base).append(first, month, "1")
+    two = one.merge(incoming, ["order_id", "order_date"], month)
+    old, new = two.read(loads=["1"]), two.read(loads=[x for x in two.loads() if x != "1"])
+    return old.withColumn("load_no", F.lit(1)).unionByName(new.withColumn("load_no", F.lit(2)))
+
+
 def q_high_watermark_filter(spark, d):
     hist = mart(spark, d).history.select("product_id", "source_snapshot_date", "stock_quantity")
     target = hist.filter(F.col("source_snapshot_date") <= F.lit(WATERMARK_TARGET_UNTIL))
@@ -481,7 +510,7 @@ def q_turnover_category(spark, d):
 
 def q_movement_quartiles(spark, d):
     m = mart(spark, d)
-    return RP.slow_vs_fast_moving(m.fact_inventory, m.dim_products)
+    return RP.slow_vs_fast_moving(cut_lineage(RP.product_totals(m.fact_inventory)), m.dim_products)
 
 
 def q_ontime_vs_delayed(spark, d):

@@ -199,14 +199,14 @@ def test_pipeline_run_and_increment(spark, landing):
     row = spark.table("rpt_inventory_valuation").orderBy("full_date").first()
     assert row.product_id == "P1" and row.store_id == "S1" and row.full_date == dt.date(2024, 6, 1)
     assert spark.table("rpt_customer_engagement_metrics").count() == 0  # the campaign ends before it starts
-    n_products = spark.read.parquet(r1.tables["bronze_products"]).count()
+    n_products = r1.read(spark, "bronze_products").count()
 
     _write(landing, "product_data", "products_2024-06-05.json", [
         {"product_id": "P1", "name": "super widget", "unit_price": "$11.00", "cost_price": "$6.00",
          "stock_quantity": "7", "reorder_level": "8"}], "lines")
     r2 = run_pipeline(spark, landing, wh, "run-2", AS_OF, previous=r1, folders=folders)
-    assert spark.read.parquet(r2.tables["bronze_products"]).count() == n_products + 1
-    hist = spark.read.parquet(r2.tables["silver_product_history"])
+    assert r2.read(spark, "bronze_products").count() == n_products + 1
+    hist = r2.read(spark, "silver_product_history")
     assert sorted(r.source_snapshot_date.day for r in hist.collect()) == [1, 3, 5]
     assert r1.tables["fact_inventory"] != r2.tables["fact_inventory"]   # new version, old one untouched
     assert spark.read.parquet(r1.tables["fact_inventory"]).count() == 2
