@@ -452,7 +452,7 @@ WHERE NOT EXISTS (SELECT 1 FROM bronze t
                     AND t.order_id = s.order_id AND t._source_file = s._source_file)""")
 q("partitioned_merge", ("headers",), f"""
 SELECT * FROM (WITH inc AS (SELECT order_id, order_date, order_status FROM headers
-             WHERE order_date >= {lit_date(REG.MERGE_INCOMING_FROM)} AND order_id NOT LIKE '%3'),
+             WHERE order_date >= {lit_date(REG.MERGE_INCOMING_FROM)} AND order_id % 10 <> 3),
 all_rows AS (
   SELECT order_id, order_date, 'Pending' AS order_status, 'v1' AS version FROM headers
   WHERE order_date < {lit_date(REG.MERGE_TARGET_BEFORE)} AND order_id NOT IN (SELECT order_id FROM inc)
