@@ -683,6 +683,10 @@ q("distinct_relationship", ("product_store",), "SELECT product_id, store_id FROM
 q("inventory_fanout", ("inv_snap",), "SELECT product_id, store_id, inventory_date, ending_stock FROM inv_snap")
 q("beginning_stock", ("inv_begin",), """
 SELECT product_id, store_id, inventory_date, beginning_stock, ending_stock FROM inv_begin""")
+q("segmented_previous", ("product_history",), """
+SELECT product_id, source_snapshot_date, stock_quantity, lag(stock_quantity) OVER w AS previous_stock,
+       lag(source_snapshot_date) OVER w AS previous_date
+FROM product_history WINDOW w AS (PARTITION BY product_id ORDER BY source_snapshot_date)""")
 q("completed_sales", ("completed",), "SELECT product_id, store_id, inventory_date, sold_quantity FROM completed")
 q("inventory_movement", ("inventory",), """
 SELECT inventory_key, product_id, store_id, inventory_date, beginning_stock, purchased_quantity, sold_quantity,

@@ -25,6 +25,37 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem]
     return df.withColumns({new: F.lag(src).over(w) for src, new in columns.items()})
 
 
+def with_previous_segmented(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem], columns: Mapping[str, str],
+                            segment: Column) -> DataFrame:
+    """``with_previous`` for keys with more rows than one task should sort.
+
+    ``segment`` cuts a key's rows into runs and must not fall along ``order`` (the month of the order's date, say; the
+    order's own direction and place of NULLs count).  LAG looks back inside a segment; a segment's first row takes the
+    last row of the key's segment before it, from a table with one row per key and segment.  So a task holds one segment
+    of a key, and what is sorted per key is its segments.  Rows that tie in ``order`` are ordered as in ``with_previous``:
+    not at all; append a unique key.
+    """
+    at = [f"_o{i}" for i in range(len(order))]
+    rows = df.withColumns({o: F.col(c) if isinstance(c, str) else c for o, (c, _, _) in zip(at, order, strict=True)})
+    rows = rows.withColumn("_segment", segment)
+    sorts = [sort_column((o, falling, nulls_first)) for o, (_, falling, nulls_first) in zip(at, order, strict=True)]
+    inside = Window.partitionBy(*keys, "_segment").orderBy(*sorts)
+    held = F.struct(*[F.col(c) for c in columns])
+    rows = rows.withColumns({"_first": F.row_number().over(inside) == 1, "_last": F.lead(F.lit(False), 1, True).over(inside)})
+    rows = rows.withColumns({new: F.lag(src).over(inside) for src, new in columns.items()})
+    # one row per key and segment
+    ends = rows.where("_last").select(*keys, "_segment", *at, held.alias("_held"))
+    along = Window.partitionBy(*keys).orderBy(*sorts)
+    carried = ends.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_segment").alias("_s"), F.lag("_held").over(along).alias("_carried"))
+    same = F.col("_segment").eqNullSafe(F.col("_s")) & F.col("_first")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = rows.join(carried, same, "left")
+    return joined.select(
+        *df.columns, *[F.when(F.col("_first"), F.col(f"_carried.{src}")).otherwise(F.col(new)).alias(new) for src, new in columns.items()]
+    )
+
+
 def _code(df: DataFrame, name: str) -> Column:
     """A number that never falls where the column rises: values may share one, which only makes ranges less even."""
     kind = df.schema[name].dataType

@@ -24,6 +24,7 @@ from shelfspark.operators.history import scd2_apply, scd2_build
 from shelfspark.operators.incremental import after_high_watermark, merge_upsert, new_rows
 from shelfspark.operators.joins import flatten_items
 from shelfspark.operators.load_log import log_entries, new_rows_logged
+from shelfspark.operators.windows import with_previous_segmented
 from shelfspark.plans import campaign as C
 from shelfspark.plans import gold as G
 from shelfspark.plans import inventory as I
@@ -415,6 +416,14 @@ def q_beginning_stock(spark, d):
         "product_id", "store_id", "inventory_date", "beginning_stock", "ending_stock")
 
 
+def q_segmented_previous(spark, d):
+    """W2 / W4 with a product's snapshots cut by month, for products with more of them than a task should sort."""
+    hist = mart(spark, d).history.select("product_id", "source_snapshot_date", "stock_quantity")
+    return with_previous_segmented(
+        hist, ["product_id"], [("source_snapshot_date", False, False)],
+        {"stock_quantity": "previous_stock", "source_snapshot_date": "previous_date"}, F.trunc("source_snapshot_date", "MM"))
+
+
 def q_completed_sales(spark, d):
     return I.completed_sales(mart(spark, d).items)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.operators.incremental import merge_upsert, new_rows
 from shelfspark.operators.load_log import KEYS_PER_BLOCK, LOG_SCHEMA, log_entries, new_rows_logged, probed
-from shelfspark.operators.windows import global_ntile
+from shelfspark.operators.windows import global_ntile, with_previous, with_previous_segmented
 from shelfspark.sources.partitioned import PartitionedTable, key_bucket
 
 ROWS = "k string, d date, v int"
@@ -170,3 +170,24 @@ def test_ntile_starts_no_job(spark):
     assert out.groupBy("q").count().where("count = 250").count() == 4
     assert tracker.getJobIdsForGroup("ntile-build")
     spark.sparkContext.setJobGroup("", "")
+
+
+@pytest.mark.parametrize("falling, nulls_first", [(False, False), (False, True), (True, None), (True, False)])
+def test_segmented_lag(spark, falling, nulls_first):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), day(rnd.randint(0, 300)) if i % 9 else None, i, i % 4 or None) for i in range(400)]
+    rows += [("hot", day(i), i, i) for i in range(900)]  # most of the rows
+    df = spark.createDataFrame(rows, "k string, d date, i int, v int")
+    order = [("d", falling, nulls_first), ("i", falling, None)]
+    lags = {"v": "pv", "d": "pd"}
+    want = with_previous(df, ["k"], order, lags)
+    got = with_previous_segmented(df, ["k"], order, lags, F.trunc("d", "MM"))
+    assert got.columns == want.columns and bag(got) == bag(want)
+    assert with_previous_segmented(df.limit(0), ["k"], order, lags, F.trunc("d", "MM")).collect() == []
+
+
+def test_segmented_lag_spreads_a_hot_key(spark):
+    df = spark.createDataFrame([("hot", day(i), i) for i in range(600)], "k string, d date, v int")
+    out = with_previous_segmented(df, ["k"], [("d", False, False)], {"v": "pv"}, F.trunc("d", "MM"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan and "_segment" in plan.split("hashpartitioning(k", 1)[1].split(")")[0]
