@@ -13,11 +13,19 @@ Aggregating over the corpus instead of one page keeps the one-word article of a
 
 Labels: a path step is a tag name; unknown tags are ``x``.  An element that is hidden, or one of whose class names, id or
 role values is a known block name, is ``x.skip`` and holds no article, unless it is an article or main part or encloses
-one.  A block whose names only have such a word between hyphens keeps its tag name with ``.word``, and its ratios decide.
+one.  A block whose names only have such a word between hyphens, or beside the name of a content block (``post related``),
+keeps its tag name with ``.word``, and its ratios decide.  An element that never holds an article stands as ``div`` where
+it encloses an article or main part; so do a form with more than half of the page's characters (pages that old server
+frameworks wrap in one).  A header with a heading inside an article is no step of the path.  A label or button inside a paragraph outside
+forms stands as ``span``.
 Repeated steps count once and steps beyond DEPTH are left off, but all that lies in an element that never
 holds an article, however deep, has the path ``x.skip``.  The paths may still grow with the corpus: up to
 BROADCAST_PATHS content paths are sent to the tasks, more are joined with the text nodes.
 
+Parsing takes time in proportion to the page, whatever its tags: names and attributes are matched without backtracking,
+open elements are found by their tag, and after BROKEN_TAGS tags whose quotes never close a tag ends at its first ``>``.
+A slash closes ``svg`` and ``math`` only; a CDATA section is left out as a whole.
+
 Edge cases: null, empty and markup-free html (text outside any tag belongs to path ``html/body``); unclosed and
 misplaced tags; character references also without ``;``; repeated rows; an empty table gives no rows; extra columns are
 ignored.  A page without a content path has an empty text.
@@ -47,6 +55,8 @@ UNIT = 1_000_000
 STEPS = 64
 #: Paths that a task sums up before it hands them on.
 HELD_PATHS = 100_000
+#: Tags with unclosed quotes after which a page's quotes count no more.
+BROKEN_TAGS = 32
 #: More selected paths than this are joined instead of broadcast.
 BROADCAST_PATHS = 20_000
 
@@ -62,6 +72,9 @@ INLINE = frozenset(
     "a abbr b bdi bdo big button cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
     "time tt u var".split()
 )
+#: Of RAW: those whose content is text up to the end tag or the end of the page, and those that a slash closes.
+RAW_TEXT, SLASHED = frozenset("script style textarea title iframe".split()), frozenset("svg math".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER = frozenset("aside button dialog footer form header head label menu nav select x.skip".split())
 #: Elements that a new one of the same group closes.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -72,25 +85,40 @@ SKIP_NAMES = frozenset(
     "newsletter notice pager pagination popup promo promoted related replies reply respond search share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Of these, the ones that don't cut a block which also has a name of a content block.
+WEAK_NAMES = frozenset("related share search social widget".split())
+CONTENT_NAMES = frozenset("article content entry post story".split())
 NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 #: Elements and roles that the names of blocks never cut.
 MAIN = frozenset("article main".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S)
+_TEXT = re.compile(r"[^<]++")
+_NAME = re.compile(r"</?+([a-zA-Z][^\s/>]*+)")
+_QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+_LEADING, _LONG_NUMBER = re.compile(r"&#0++(?=[0-9])"), re.compile(r"(&#[0-9]{8})[0-9]++")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PUNCTUATION = re.compile(r"[^\w\s]", re.U)
 _SPACE = re.compile(r"\s+")
 
 
+def _unescape(text: str) -> str:
+    """The text with its character references decoded; numbers of any length are references too."""
+    if "&" not in text:
+        return text
+    return entities.unescape(_LONG_NUMBER.sub(r"\1", _LEADING.sub("&#", text)))
+
+
 class _Element:
     """An open tag: its step of the path, the step that it takes if it encloses a main part, and the element around it."""
 
-    __slots__ = ("tag", "label", "plain", "main", "encloses", "parent", "never", "steps", "path")
+    __slots__ = ("tag", "label", "plain", "main", "encloses", "parent", "inside", "never", "steps", "path")
 
-    def __init__(self, tag: str, attributes: str, parent: _Element | None):
+    def __init__(self, tag: str, attributes: str, parent: _Element | None, inside: bool = False):
         self.tag, self.parent, self.encloses, self.never, self.steps, self.path = tag, parent, False, False, (), None
-        self.label = self.plain = name = tag if tag in BLOCK or tag in INLINE else "x"
+        self.label = name = tag if tag in BLOCK or tag in INLINE else "x"
+        self.plain = "div" if name in NEVER else name
         self.main = tag in MAIN
+        self.inside = inside or self.main  # an article or main part
         if not attributes or name in ("html", "body"):
             return
         given: dict[str, str] = {}
@@ -104,8 +132,10 @@ class _Element:
             names = [*given.get("class", "").split(), given.get("id", "").strip(), *roles]
             word = next((w for n in names for w in re.split(r"[\s_-]+", n) if w in SKIP_NAMES), None)
             if word and tag in BLOCK:
-                self.label = self.plain = f"{name}.{word}"
-            if not SKIP_NAMES.isdisjoint(names):
+                self.plain = f"{self.plain}.{word}"
+                self.label = name if name in NEVER else self.plain
+            cut = SKIP_NAMES.intersection(names)
+            if cut and not (tag in BLOCK and cut <= WEAK_NAMES and not CONTENT_NAMES.isdisjoint(names)):
                 self.label = "x.skip"
 
 
@@ -117,7 +147,7 @@ def _path(element: _Element) -> str:
         element = element.parent
     for e in reversed(todo):
         above = e.parent.steps
-        e.steps = above if e.label in ("html", "body", above[-1]) or len(above) == DEPTH else (*above, e.label)
+        e.steps = above if e.label in ("", "html", "body", above[-1]) or len(above) == DEPTH else (*above, e.label)
         e.never = e.parent.never or e.label in NEVER
         e.path = "x.skip" if e.never else "/".join(e.steps)
         element = e
@@ -131,6 +161,7 @@ def blocks(page: str | None) -> list[list[tuple[str, str]]]:
     top = _Element("html", "", None)
     top.steps, top.path = ("html", "body"), "html/body"
     stack: list[_Element] = []
+    places: dict[str, list[int]] = defaultdict(list)  # tag -> its places in the stack
     inner = top
 
     def flush():
@@ -141,27 +172,52 @@ def blocks(page: str | None) -> list[list[tuple[str, str]]]:
 
     def close(i: int):
         nonlocal inner
-        if any(e.tag in BLOCK for e in stack[i:]):
-            flush()
-        del stack[i:]
+        while len(stack) > i:
+            gone = stack.pop()
+            places[gone.tag].pop()
+            if gone.tag in BLOCK:
+                flush()
         inner = stack[-1] if stack else top
 
-    text, at = page or "", 0
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
+    text, at, broken = page or "", 0, 0
+    sections_end = text.rfind("]]>")
+    endless: set[str] = set()  # RAW elements that no end tag follows
+    forms: list[_Element] = []
     while at < len(text):
-        found = _TOKEN.match(text, at)
-        token, at = found[0], found.end()
-        if token[0] != "<" or token == "<":
-            now.append((inner, entities.unescape(token)))
+        if text[at] != "<":
+            found = _TEXT.match(text, at)
+            at = found.end()
+            now.append((inner, _unescape(found[0])))
+            continue
+        mark = text[at + 1 : at + 2]
+        if mark in ("!", "?"):
+            if text.startswith("<!--", at):
+                stop, size = text.find("-->", at + 4), 3
+            elif at < sections_end and text.startswith("<![CDATA[", at):
+                stop, size = text.find("]]>", at), 3
+            else:
+                stop, size = text.find(">", at), 1
+            at = stop + size if stop >= 0 else len(text)
             continue
-        if token[1:2] in "!?":
+        m = _NAME.match(text, at)
+        if m is None:
+            now.append((inner, "<"))
+            at += 1
             continue
-        end = token[1] == "/"
-        m = re.match(r"</?([a-zA-Z][^\s/>]*)", token)
-        tag = m[1].lower()
+        end, tag = mark == "/", m[1].lower()
+        found = _QUOTED.match(text, m.end()) if broken < BROKEN_TAGS else None
+        if found:
+            at = found.end()
+        else:
+            broken += 1
+            stop = text.find(">", m.end())
+            at = stop + 1 if stop >= 0 else len(text)
         if end:
-            i = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag), None)
-            if i is not None:
-                close(i)
+            if places.get(tag):
+                close(places[tag][-1])
             elif tag in BLOCK:
                 flush()
             continue
@@ -171,37 +227,77 @@ def blocks(page: str | None) -> list[list[tuple[str, str]]]:
             elif tag == "br":
                 now.append((inner, " "))
             continue
-        attributes = token[m.end() : -1]
+        attributes = text[m.end() : at - (text[at - 1] == ">")]
         if tag in RAW:
-            if not attributes.endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(text, at)
-                at = stop.end() if stop else len(text)
+            if not (tag in SLASHED and attributes.endswith("/")):
+                stop = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*+(?:>|\Z)", re.I).search(text, at)
+                if stop:
+                    at = stop.end()
+                elif tag in RAW_TEXT and not attributes.endswith("/"):
+                    at = len(text)
+                else:
+                    endless.add(tag)
             continue
         if tag in BLOCK:
-            if tag not in ("html", "body"):
-                i = next((k for k, e in enumerate(stack) if e.tag == "p"), None)
-                if i is not None:
-                    close(i)
-            if tag in CLOSES:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k].tag in CLOSES[tag]:
-                        close(k)
-                        break
-                    if stack[k].tag in ("ul", "ol", "dl", "table"):
-                        break
+            if tag not in ("html", "body") and places["p"]:
+                close(places["p"][0])
+            if tag in CLOSES and (i := last(CLOSES[tag])) > last(("ul", "ol", "dl", "table")):
+                close(i)
             flush()
         if not attributes.endswith("/") or tag in BLOCK:
-            inner = _Element(tag, attributes, inner)
+            inner = _Element(tag, attributes, inner, inner.inside)
             if inner.main:
                 for e in reversed(stack):
                     if e.encloses:
                         break
                     e.encloses, e.label = True, e.plain
+            elif inner.label in ("label", "button") and places["p"] and not places["form"]:
+                inner.label = "span"
+            elif tag in HEADINGS and places["header"]:
+                header = stack[places["header"][-1]]
+                if header.label == "header" and header.parent.inside:
+                    header.label = ""  # no step: its heading is one of the article
+            elif inner.label == "form":
+                if places["form"]:
+                    inner.label = inner.plain  # the form around it decides
+                else:
+                    forms.append(inner)
+            places[tag].append(len(stack))
             stack.append(inner)
     flush()
+    if forms:
+        _open_whole_forms(forms, out)
     return [[(_path(e), t) for e, t in block] for block in out]
 
 
+def _open_whole_forms(forms: list[_Element], out: list[list[tuple[_Element, str]]]) -> None:
+    """Forms with more than half of the page's characters become ``div``; an element has one form around it at most."""
+    of: dict[int, _Element | None] = {}  # element -> the outermost form around it
+    own = {id(f) for f in forms}
+
+    def around(element: _Element) -> _Element | None:
+        todo = []
+        while element is not None and id(element) not in of:
+            todo.append(element)
+            element = element.parent
+        form = of[id(element)] if element is not None else None
+        for e in reversed(todo):
+            form = form or (e if id(e) in own else None)
+            of[id(e)] = form
+        return form
+
+    total, held = 0, defaultdict(int)
+    for block in out:
+        for e, t in block:
+            n = len(t.strip())
+            total += n
+            if n and (form := around(e)):
+                held[id(form)] += n
+    for f in forms:
+        if 2 * held[id(f)] > total:
+            f.label = f.plain
+
+
 def path_sums(pages: DataFrame) -> DataFrame:
     """path, nodes, log_chars, log_marks (sums over the nodes) and weight (shares of their pages' characters outside
     elements that never hold an article) over all pages; partial sums per task, so a hot path is one row a task."""

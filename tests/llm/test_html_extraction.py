@@ -1,5 +1,7 @@
 """Main text of pages that the small test of test_corpus.py has none of."""
 
+import time
+
 import pytest
 
 from shelfspark.llm import html_extraction
@@ -73,3 +75,62 @@ def test_what_never_holds_an_article_at_any_depth(spark, pile):
     page = f"<div>{pile}{WORDS}<footer>All rights, reserved. Really; all.</footer><div class='ad'>Buy, now. Really; do.</div><p>End, at last.</p></div>"
     got = extracted(spark, [page])[0]
     assert got.count("Sentence") == 4 and "End, at last." in got and "rights" not in got and "Buy" not in got
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<form action=/x><main><article>{WORDS}</article></main></form>",
+        f"<form action=/x><div>{WORDS}</div><label>Name</label></form>",
+        f"<form><form><div>{WORDS}</div></form></form>",
+        f'<div class="post related">{WORDS}</div>',
+        f"<aside><article>{WORDS}</article></aside>",
+    ],
+)
+def test_what_holds_the_article_is_kept(spark, page):
+    got = extracted(spark, [page])[0]
+    assert got.count("Sentence") == 4 and "Name" not in got
+
+
+def test_forms_headers_and_controls(spark):
+    form = "<form><p>Leave, please, a reply. Or, none.</p><label>Name</label><button>Send</button></form>"
+    assert "reply" not in extracted(spark, [f"<article>{WORDS}</article>{form}"])[0]
+    assert extracted(spark, [f"<header><h1>Site</h1></header><article><header><h1>Title, of it</h1></header>{WORDS}</article>"])[0].startswith("Title, of it\nSentence 0")
+    assert "Hi, press OK there" in extracted(spark, [f"<article>{WORDS}<p>Hi, press <label>OK</label> there, and so on.</p></article>"])[0]
+
+
+@pytest.mark.parametrize(
+    "markup, left",
+    [
+        ('<script src=/js/>var a = "x";</script>', ""),
+        ("<style/>p {color:red}</style>", ""),
+        ("<svg class=x/>", ""),
+        ("<svg><text>No</text></svg>", ""),
+        ("<![CDATA[ x > y ]]>", ""),
+        ("<!-- a > b -->", ""),
+        ('<a title="x > y">z</a>', "z"),
+        ("&#000000000000065;&#x41&amp;", "AA&"),
+        (f"&#{'9' * 6000};", "\ufffd"),
+    ],
+)
+def test_markup(markup, left):
+    assert "".join(t for b in html_extraction.blocks(f"<p>{markup}</p>") for _, t in b) == left
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<p", "<font ", "<a \">\"", "<ul><li>", "<b>x", "<form>x", "<svg>", "<![CDATA[", "<p>x<div>"])
+def test_parsing_time_follows_the_size(piece):
+    def took(n):
+        start = time.process_time()
+        html_extraction.blocks(piece * n)
+        return time.process_time() - start
+
+    assert took(60_000) < 3 * took(30_000) + 0.3
+
+
+def test_empty_table_clashing_columns_and_repeated_rows(spark):
+    spec = "page_id int, html string, id string, text string, k0 string"
+    assert html_extraction.extract(spark.createDataFrame([], spec)).collect() == []
+    page = f"<article>{WORDS}</article>"
+    rows = spark.createDataFrame([(1, page, "a", "b", "c"), (1, page, "a", "b", "c"), (2, None, None, None, None)], spec)
+    got = html_extraction.extract(rows, keep=("k0",)).collect()
+    assert sorted((r.page_id, r.k0 or "", r.text.count("Sentence")) for r in got) == [(1, "c", 4), (1, "c", 4), (2, "", 0)]
