@@ -868,5 +868,41 @@ Q["check_relationships"] = with_ctes(("fact_inventory", "dim_products", "dim_sto
 ]))
 
 
+def _declared(source: str, label: str, keys: str, required: str = "", parents: dict[str, tuple[str, str]] | None = None) -> str:
+    """The declared checks of one table: keys are not null and unique, foreign keys name (CTE, label) of their parent."""
+    parts = [(_nn(source, [c], label), None) for c in (keys + " " + required).split()]
+    parts += [(_uq(source, c, label), None) for c in keys.split()]
+    parts += [(_rel(source, c, p, c, label), name) for c, (p, name) in (parents or {}).items()]
+    return "\nUNION ALL\n".join(
+        f"SELECT \"check\", table_name, column_name, {'NULL' if name is None else repr(name)} AS parent, 'error' AS severity, "
+        f"violations, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({sql})" for sql, name in parts)
+
+
+Q["declared_checks"] = with_ctes(
+    ("customers", "product_history", "items", "orders_s", "stores", "suppliers", "campaigns", "inventory", "dim_date",
+     "dim_campaign", "dim_products", "dim_stores", "dim_suppliers", "fact_inventory", "fact_marketing"),
+    "\nUNION ALL\n".join([
+        _declared("customers", "silver_customers", "customer_id"),
+        _declared("product_history", "silver_product_history", "product_history_key", "product_id source_snapshot_date"),
+        _declared("items", "silver_order_items", "order_item_key", "order_id product_id"),
+        _declared("orders_s", "silver_orders", "order_id"),
+        _declared("stores", "silver_stores", "store_id"),
+        _declared("suppliers", "silver_suppliers", "supplier_id"),
+        _declared("campaigns", "silver_campaigns", "campaign_id"),
+        _declared("inventory", "silver_inventory", "inventory_key", "product_id inventory_date"),
+        _declared("dim_date", "dim_date", "date_key full_date"),
+        _declared("dim_campaign", "dim_marketing_campaign", "campaign_key campaign_id", "start_date end_date"),
+        _declared("dim_products", "dim_products", "product_key product_id"),
+        _declared("dim_stores", "dim_stores", "store_key store_id"),
+        _declared("dim_suppliers", "dim_suppliers", "supplier_key supplier_id"),
+        _declared("fact_inventory", "fact_inventory", "inventory_key", "product_key date_key store_key supplier_key",
+                  {"product_key": ("dim_products", "dim_products"), "date_key": ("dim_date", "dim_date"),
+                   "store_key": ("dim_stores", "dim_stores"), "supplier_key": ("dim_suppliers", "dim_suppliers")}),
+        _declared("fact_marketing", "fact_marketing_performance", "marketing_performance_key",
+                  "campaign_key date_key campaign_id full_date",
+                  {"campaign_key": ("dim_campaign", "dim_marketing_campaign"), "date_key": ("dim_date", "dim_date")}),
+    ]))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

@@ -110,6 +110,16 @@ SURROGATE_SEPARATOR = "-"
 # Source freshness thresholds, hours.
 FRESHNESS_WARN_HOURS = 24
 FRESHNESS_ERROR_HOURS = 48
+# FIXED VALUES: source -> the payload field that says when a record was loaded.
+FRESHNESS_FIELDS = {
+    "campaigns": "start_date",
+    "customers": "last_modified_date",
+    "employees": "last_modified_date",
+    "orders": "order_date",
+    "products": "last_modified_date",
+    "stores": "last_modified_date",
+    "suppliers": "last_modified_date",
+}
 
 # Increment default high-water mark.
 HIGH_WATERMARK_DEFAULT = _dt.date(1900, 1, 1)

@@ -19,6 +19,7 @@ from shelfspark.functions import clean as S
 from shelfspark.functions import metrics as M
 from shelfspark.functions.keys import surrogate_key
 from shelfspark.operators import checks as CH
+from shelfspark.operators.declared import run_declared
 from shelfspark.operators.dedup import latest_per_key
 from shelfspark.operators.history import scd2_apply, scd2_build
 from shelfspark.operators.incremental import after_high_watermark, merge_upsert, new_rows
@@ -30,6 +31,7 @@ from shelfspark.plans import gold as G
 from shelfspark.plans import inventory as I
 from shelfspark.plans import orders as O
 from shelfspark.plans import reports as RP
+from shelfspark.plans.checks import DECLARED
 from shelfspark.plans.mart import Mart
 from shelfspark.session import ensure_checkpoint_dir
 from shelfspark.sources import tpch_roles as R
@@ -610,6 +612,18 @@ def q_check_relationships(spark, d):
     ])
 
 
+def q_declared_checks(spark, d):
+    m = mart(spark, d)
+    return run_declared({
+        "silver_customers": m.customers, "silver_product_history": m.history, "silver_order_items": m.items,
+        "silver_orders": m.orders, "silver_stores": m.stores, "silver_suppliers": m.suppliers,
+        "silver_campaigns": m.campaigns, "silver_inventory": m.inventory, "dim_date": m.dim_date,
+        "dim_marketing_campaign": m.dim_campaign, "dim_products": m.dim_products, "dim_stores": m.dim_stores,
+        "dim_suppliers": m.dim_suppliers, "fact_inventory": cut_lineage(m.fact_inventory),
+        "fact_marketing_performance": cut_lineage(m.fact_marketing),
+    }, DECLARED)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

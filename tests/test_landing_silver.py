@@ -219,3 +219,24 @@ def test_pipeline_run_and_increment(spark, landing):
     assert spark.read.parquet(r1.tables["snp_suppliers"]).count() == 1
     c2 = spark.read.parquet(r2.tables["snp_customers"])
     assert c2.groupBy("customer_id").agg(F.sum(F.col("is_current").cast("int")).alias("n")).filter("n > 1").count() == 0
+
+
+def test_pipeline_checks_and_freshness(spark, landing):
+    from shelfspark.operators.declared import DeclaredCheckError
+    from shelfspark.plans.pipeline import run_pipeline
+
+    folders = {"customers": "customer-data"}
+    run = run_pipeline(spark, landing, tempfile.mkdtemp(prefix="warehouse-"), "run-1", AS_OF, folders=folders,
+                       checked_at=dt.datetime(2024, 6, 2, 0, 0))
+    assert run.read(spark, "declared_checks").count() == 66
+    fresh = {r.source: r.status for r in run.read(spark, "source_freshness").collect()}
+    assert len(fresh) == 7 and fresh["orders"] == "pass" and fresh["campaigns"] == "pass" and fresh["stores"] == "error"
+
+    root = tempfile.mkdtemp(prefix="landing-")
+    _write(root, "orders_data", "orders_2024-06-01.json", [
+        {"order_id": "O1", "order_date": "2024-06-01", "order_items": [{"product_id": None, "quantity": "1"}]}], "lines")
+    with pytest.raises(DeclaredCheckError, match="silver_order_items.product_id"):
+        run_pipeline(spark, root, tempfile.mkdtemp(prefix="warehouse-"), "run-1", AS_OF, checks="enforce")
+    kept = run_pipeline(spark, root, tempfile.mkdtemp(prefix="warehouse-"), "run-1", AS_OF)
+    assert kept.warnings == ["not_null(silver_order_items.product_id): 1"]
+    assert kept.read(spark, "declared_checks").where("status = 'fail'").count() == 1
