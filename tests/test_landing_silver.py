@@ -100,6 +100,36 @@ def test_layouts_keep_every_record(spark, landing):
     assert arr.count() == 1 and arr.first().raw_json.startswith("{")
 
 
+def test_layout_of_each_file(spark, tmp_path):
+    folder = tmp_path / "stores_data"
+    folder.mkdir()
+
+    def put(name, text, encoding="utf-8"):
+        (folder / name).write_text(text, encoding=encoding)
+
+    one, two = json.dumps({"store_id": "S1", "tags": [1, 2]}), json.dumps({"store_id": "S2"})
+    put("lines.json", f"\n  \n{one}\n\n{two}\n")
+    put("array.json", f"\n \t\n [\n{one},\n{two}]")
+    put("array [1] of {2}.json", f"[{two}]")
+    put("bom lines.json", f"{one}\n", "utf-8-sig")
+    put("bom array.JSON", f"[{one}]", "utf-8-sig")
+    put("empty.json", "")
+    put("blank.json", " \n\n")
+    put("none.json", "[]")
+    got = read_landing(spark, str(tmp_path), "stores_data", "auto")
+    ids = F.try_variant_get("value", "$.store_id", "string")
+    found = sorted((r.f.rsplit("/", 1)[1], r.i) for r in got.select(F.url_decode("_source_file").alias("f"), ids.alias("i")).collect())
+    assert found == [("array [1] of {2}.json", "S2"), ("array.json", "S1"), ("array.json", "S2"), ("bom array.JSON", "S1"),
+                     ("bom lines.json", "S1"), ("lines.json", "S1"), ("lines.json", "S2")]
+    (folder / "lines.json").unlink()
+    only_lines = tmp_path / "more"
+    only_lines.mkdir()
+    (only_lines / "a.json").write_text(one)
+    assert read_landing(spark, str(tmp_path), "more", "auto").count() == 1
+    with pytest.raises(ValueError):
+        read_landing(spark, str(tmp_path), "more", "other")
+
+
 def test_bronze_and_incremental(spark, landing):
     b = _bronze(spark, landing, "orders_data", "order_id")
     assert set(b.columns) == {"order_id", "raw_payload", "_source_file", "_loaded_at", "_batch_id"}
