@@ -12,12 +12,13 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,8 @@ ORDERS = (1, 2, 3)
 SAMPLE_ROWS = 2000
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.02, 0.5
 CHUNK = 1 << 20
+#: Rows of every language that the sample holds at least, where there are as many.
+LABEL_ROWS = 50
 
 
 @dataclass
@@ -130,13 +133,23 @@ def calibrate(z: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
-def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list:
-    """At most ``rows`` (text, lang) rows, chosen by a hash of the id and the text's checksum."""
+def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, label_rows: int = LABEL_ROWS) -> list:
+    """At most ``rows`` (text, lang) rows, chosen by a hash of the id and the text's checksum.  A language of which these
+    hold fewer than ``label_rows`` comes with its first ``label_rows`` rows by that hash instead, so that the languages
+    learned are those of all rows, however rare; this adds at most ``label_rows`` rows a language."""
     keyed = docs.withColumn("h", F.xxhash64(F.crc32(F.col("text").cast("binary")), "id"))
     least = keyed.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
     if least is None:
         return []
-    return keyed.where(F.col("h") <= least).select("text", "lang").limit(rows).collect()
+    found = keyed.where(F.col("h") <= least).select("text", "lang").limit(rows).collect()
+    held = Counter(r["lang"] for r in found)
+    every = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    short = [r["lang"] for r in every if held[r["lang"]] < min(label_rows, r["n"])]
+    if not short:
+        return found
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    few = keyed.where(F.col("lang").isin(short)).withColumn("place", place).where(F.col("place") <= label_rows)
+    return [r for r in found if r["lang"] not in short] + few.select("text", "lang").collect()
 
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
@@ -150,7 +163,9 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     idf = np.log((1 + n) / (1 + df)) + 1
     made = [(*vector(text, idf), languages.index(lang)) for text, lang in data]
     apart = [r for i, r in enumerate(made) if i % 5 == 0]
-    kept = [r for i, r in enumerate(made) if i % 5] or made
+    kept = [r for i, r in enumerate(made) if i % 5]
+    learned = {y for *_, y in kept}
+    kept += [r for r in apart if r[-1] not in learned]
     w, b = ftrl(kept, len(languages))
     model = Model(languages, idf, w, b)
     model.temperature = calibrate(np.array([model.logits(i, v) for i, v, _ in apart]), np.array([y for *_, y in apart]))
