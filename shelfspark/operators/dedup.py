@@ -34,6 +34,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) == 1).drop(rank_col)
 
 
+def newest_rows(df: DataFrame, key: str, at: str) -> DataFrame:
+    """All rows of each key with its newest ``at`` (NULL counts as newest), without sorting the rows.
+
+    The newest values are a hash aggregate with partial results.  Rows without a key (a group too) need no join.
+    """
+    open_, last = F.max(F.col(at).isNull()).alias("_open"), F.max(at).alias("_last")
+    cond = F.when(F.col("_open"), F.col(at).isNull()).otherwise(F.col(at) == F.col("_last"))
+    tops = df.where(F.col(key).isNotNull()).groupBy(key).agg(open_, last)
+    named = df.where(F.col(key).isNotNull()).join(tops, key).where(cond)
+    loose = df.where(F.col(key).isNull())
+    loose = loose.crossJoin(F.broadcast(loose.agg(open_, last))).where(cond)  # one row
+    return named.select(*df.columns).unionByName(loose.select(*df.columns))
+
+
 def distinct_pairs(df: DataFrame, cols: Sequence[str], not_null: bool = True) -> DataFrame:
     """SELECT DISTINCT of ``cols`` (optionally dropping rows with a NULL part).
 

@@ -79,7 +79,7 @@ class Mart:
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return G.dim_products(self.history, self.suppliers)
+        return G.dim_products(R.product_history(self.t, newest=True), self.suppliers)
 
     @cached_property
     def dim_stores(self) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.functions.keys import surrogate_key
-from shelfspark.operators.dedup import latest_per_key
+from shelfspark.operators.dedup import latest_per_key, newest_rows
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES for the test-data roles
@@ -148,10 +148,15 @@ def order_items(t: Tables, headers: DataFrame | None = None) -> DataFrame:
 # products, stores, suppliers, customers, campaigns
 # ---------------------------------------------------------------------------
 
-def product_history(t: Tables) -> DataFrame:
-    """Product snapshot role: stock per (part, ship date), attributes from part."""
-    snaps = (t.lineitem
-             .groupBy(F.col("l_partkey").alias("product_id"), F.to_date("l_shipdate").alias("source_snapshot_date"))
+def product_history(t: Tables, newest: bool = False) -> DataFrame:
+    """Product snapshot role: stock per (part, ship date), attributes from part.
+
+    ``newest``: only each product's newest snapshots (NULL dates first), found before they are widened by the part.
+    """
+    rows = t.lineitem.select(F.col("l_partkey").alias("product_id"), F.to_date("l_shipdate").alias("source_snapshot_date"),
+                             "l_quantity", "l_suppkey")
+    snaps = ((newest_rows(rows, "product_id", "source_snapshot_date") if newest else rows)
+             .groupBy("product_id", "source_snapshot_date")
              .agg(F.sum("l_quantity").cast("bigint").alias("stock_quantity"),
                   F.min("l_suppkey").alias("supplier_id")))
     part = t.part.select(
