@@ -516,7 +516,8 @@ def q_inventory_valuation(spark, d):
 
 def q_turnover_category(spark, d):
     m = mart(spark, d)
-    return RP.stock_turnover(m.fact_inventory, m.dim_date, m.dim_products, m.dim_stores)
+    fact = m.fact_with(["product_name", "category", "subcategory"], ["store_name"])
+    return RP.turnover_rows(star_lookup(fact, [(m.dim_date, "date_key", ["full_date"])]))
 
 
 def q_movement_quartiles(spark, d):
