@@ -538,7 +538,12 @@ def q_supplier_concentration_risk(spark, d):
 
 def q_supplier_category_contribution(spark, d):
     m = mart(spark, d)
-    return RP.supplier_contribution(m.fact_inventory, m.dim_products, m.dim_suppliers)
+    # dealt by the product's id, with which its key goes: summed and looked up where the rows are
+    per = m.fact_with().groupBy("_product_id", "supplier_key", "product_key").agg(
+        F.sum("purchased_quantity").alias("supplier_purchased_quantity"))
+    products = m.dim_products.select(F.col("product_id").alias("_product_id"), "category")
+    per = star_lookup(per, [(products, "_product_id", ["category"])])
+    return RP.contribution_rows(per, m.dim_suppliers)
 
 
 def q_engagement_metrics(spark, d):
