@@ -511,7 +511,8 @@ def q_campaign_roi(spark, d):
 
 def q_inventory_valuation(spark, d):
     m = mart(spark, d)
-    return RP.inventory_valuation(m.fact_inventory, m.dim_date, m.dim_products, m.dim_stores, m.dim_suppliers)
+    fact = m.fact_with(["product_name", "category", "subcategory"], ["store_name"], ["supplier_name"])
+    return RP.valuation_rows(star_lookup(fact, [(m.dim_date, "date_key", ["full_date"])]))
 
 
 def q_turnover_category(spark, d):
