@@ -1,6 +1,7 @@
 """Dimension columns of the inventory fact are looked up before it fans out."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from shelfspark.operators.dedup import latest_per_key, newest_rows
 from shelfspark.operators.joins import share_of_group
 from shelfspark.plans import gold as G
+from shelfspark.plans import inventory as I
 from shelfspark.plans import registry as Q
 from shelfspark.plans import reports as RP
 
@@ -70,6 +72,26 @@ def test_no_lookup_above_the_fan_out(spark, tables):
     assert depth(products) > depth(fan_out)
 
 
+def test_inventory_attributes_looked_up_after_the_sales(spark, tables):
+    m = Q.mart(spark, tables)       # part 2 is there twice, part 3 not at all
+    whole = I.silver_inventory(m.history, m.items)
+    assert whole.where("inventory_value IS NULL").count() > 0 and _rows(m.inventory) == _rows(whole)
+    keys = m.inventory.where("product_id = 2").select("inventory_key")
+    assert keys.count() > keys.distinct().count()
+
+
+def test_snapshots_are_dealt_by_product_and_date_once(spark, tables):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, chains in (("inventory_movement", 1), ("star_lookup", 2)):     # star_lookup: the rows and the days' totals
+            plan = Q.QUERIES[name](spark, tables)._jdf.queryExecution().executedPlan().toString()
+            dealt = re.findall(r"Exchange hashpartitioning\(product_id#\d+L, (\w+)#", plan)
+            assert 1 <= dealt.count("inventory_date") <= chains, name            # the day maps, not the snapshots
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_timeliness_is_dealt_before_it_fans_out(spark, tables):
     plan = _plan(Q.q_ontime_vs_delayed(spark, tables))
     assert plan.index("Aggregate [supplier_key") < plan.index("Generate explode(_stores") < plan.index("RepartitionByExpression [supplier_key")
