@@ -46,11 +46,12 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(app)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors."""
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors.
+    ``options`` are the Parquet writer's."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

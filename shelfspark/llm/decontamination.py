@@ -29,11 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import only, ship, stored
+from .common import only, rest, ship, stored
 
 BLOCK_TOKENS = 1 << 19
 WINDOW = 10
 SLICE_BYTES = 8 << 20
+#: An index row has some 3 MB, so the writer looks at the size of a page and of a row group after each row, not after the
+#: usual 100: else a task holds up to 100 rows, writing and reading.
+WIDE_ROWS = {
+    "parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1",
+    "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
+}
 
 #: Word bytes: 0-9, a-z and everything beyond ASCII, A-Z lower-cased; all other bytes end a word.
 _WORD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -97,6 +103,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 tokens.extend([vocab[w] for w in words])
         if ids:
             yield flush()
+        rest()
 
     return src.mapInArrow(blocks, schema)
 
@@ -190,6 +197,7 @@ def search(index: DataFrame, phrases: list[tuple[tuple[bytes, ...], tuple]], ite
                 n = len(ids)
                 columns = [[number] * n, range(n), ids, np.diff(starts).tolist(), n_hit, [sorted(items.get(d, ())) for d in range(n)], spans]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out_schema, strict=True)], schema=out_schema)
+        rest()
 
     return index.mapInArrow(look, schema)
 
@@ -212,7 +220,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, slop: int = 0, window: int
                   id_col: str = "doc_id") -> DataFrame:
     """Index the documents, store the index in the shared folder and search every benchmark window.
     The result's ``doc_id`` is the documents' ``id_col``."""
-    index = stored(build_index(docs, id_col, block_tokens=block_tokens), "postings")
+    index = stored(build_index(docs, id_col, block_tokens=block_tokens), "postings", **WIDE_ROWS)
     item_type = items.schema["item_id"].dataType
     slices = list(phrase_slices(items, window=window))
     if len(slices) == 1:

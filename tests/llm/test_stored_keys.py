@@ -1,9 +1,12 @@
 """Stages whose jobs share row keys stand a scan that is split otherwise from one job to the next."""
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfspark.llm import decontamination, jaccard_join
+from shelfspark.llm.common import stored
 
 COST = "spark.sql.files.openCostInBytes"
 
@@ -51,3 +54,15 @@ def test_decontamination(spark, tables, monkeypatch):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     got = sorted(r.doc_id for r in corpus_pipeline.decontamination_stage(spark, docs, tables).collect())
     assert got == [i for i in range(60) if i not in (50, 55)]
+
+
+def test_the_index_is_written_in_small_row_groups(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(decontamination, "stored", lambda *a, **k: kept.append(stored(*a, **k)) or kept[-1])
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(30_000)), lambda x: F.xxhash64(x, "doc_id").cast("string")))
+    docs = spark.range(0, 30, 1, 1).toDF("doc_id").withColumn("text", text)
+    items = docs.where("doc_id = 7").selectExpr("doc_id AS item_id", "substring_index(text, ' ', 20) AS text")
+    found = decontamination.decontaminate(docs, items, block_tokens=1)
+    assert [r.doc_id for r in found.where("n_hit = 20").collect()] == [7] and found.count() == 30
+    groups = [m.row_group(g) for f in kept[0].inputFiles() if (m := pq.read_metadata(f.removeprefix("file://"))) for g in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 30 and max(g.total_byte_size for g in groups) < 12 << 20
