@@ -12,6 +12,7 @@ from shelfspark.plans import gold as G
 from shelfspark.plans import inventory as I
 from shelfspark.plans import registry as Q
 from shelfspark.plans import reports as RP
+from shelfspark.sources import tpch_roles as R
 
 
 @pytest.fixture(scope="module")
@@ -114,3 +115,26 @@ def test_shares_of_null_groups(spark):
         assert sorted((r.n, r.share) for r in got.collect()) == [(1, 25.0), (3, 75.0), (4, 100.0)]
     joined = share_of_group(df, "d", "n", "share").select("n")
     assert "Join" not in _plan(joined)
+
+
+def test_sold_items_are_the_items_without_prices(spark):
+    day = dt.datetime(1997, 1, 1)
+    # repeated versions of an item that tie in the date, in all kept columns, and in nothing; NULLs among them
+    versions = [(1, 1, p, s, q, x, d, f, at) for p in (5, 6, None) for s in (1, None) for q in (2.0, 3.0) for x, d, f in ((10.0, 0.1, "N"), (9.0, None, "R"))
+                for at in (day, day + dt.timedelta(days=1))]
+    versions += [(2, 1, 5, 1, 2.0, x, 0.0, "N", None if x == 1.0 else day) for x in (1.0, 2.0, 3.0)] + [(None, 1, 5, 1, 2.0, 1.0, 0.0, "N", day)]
+    lineitem = spark.createDataFrame(
+        versions, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_returnflag string, l_shipdate timestamp").selectExpr("*", "l_discount AS l_tax", "l_returnflag AS l_linestatus")
+    headers = spark.createDataFrame([(1, day.date(), "Delivered", 3, 4)], "order_id bigint, order_date date, order_status string, customer_id bigint, store_id bigint")
+    tables = R.Tables(spark, "")
+    tables.lineitem = lineitem
+    sold = R.order_items(tables, headers, priced=False)
+    whole = R.order_items(tables, headers)
+    assert set(whole.columns) - set(sold.columns) == {"unit_price", "cost_price", "item_discount_rate"}
+    assert whole.count() == 3 and _rows(sold) == _rows(whole.select(*sold.columns))
+
+
+def test_the_inventory_reads_no_prices(spark, tables):
+    for name in ("inventory_movement", "star_lookup", "ontime_vs_delayed"):
+        assert "l_extendedprice" not in _plan(Q.QUERIES[name](spark, tables)), name
