@@ -98,6 +98,12 @@ def test_timeliness_is_dealt_before_it_fans_out(spark, tables):
     assert plan.index("Aggregate [supplier_key") < plan.index("Generate explode(_stores") < plan.index("RepartitionByExpression [supplier_key")
 
 
+def test_timeliness_looks_suppliers_up_before_it_is_dealt(spark, tables):
+    plan = _plan(Q.q_ontime_vs_delayed(spark, tables))
+    above = plan[:plan.index("Aggregate [supplier_key")]
+    assert "Join LeftOuter, (store_key" in above and "Join LeftOuter, (supplier_key" not in above
+
+
 def test_lists_of_stores_are_dealt_as_text(spark, tables):
     m = Q.mart(spark, tables)
     by = {"_year": F.year("inventory_date")}
